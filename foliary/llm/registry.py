@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, licenses, mixing
 from .shared import Query
 
 
 def queries() -> dict[str, Query]:
     return {
         "op5_bpe_round_trip": bpe.query,
+        "op8_license_scan": licenses.query,
+        "op9_source_mix": mixing.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_license_scan": licenses.sql(),
+        "op9_source_mix": mixing.sql(),
+    }
