@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, mixing
+from . import bpe, licenses, mixing, quality, toxicity
 from .shared import Query
 
 
 def queries() -> dict[str, Query]:
     return {
         "op5_bpe_round_trip": bpe.query,
+        "op6_quality_classifier": quality.query,
+        "op7_toxicity": toxicity.query,
         "op8_license_scan": licenses.query,
         "op9_source_mix": mixing.query,
     }
@@ -16,6 +18,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_quality_classifier": quality.query,
+        "op7_toxicity": toxicity.query,
         "op8_license_scan": licenses.sql(),
         "op9_source_mix": mixing.sql(),
     }
