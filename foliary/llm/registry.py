@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, mixing, quality, toxicity
+from . import bpe, jaccard, licenses, mixing, quality, toxicity
 from .shared import Query
 
 
@@ -13,6 +13,7 @@ def queries() -> dict[str, Query]:
         "op7_toxicity": toxicity.query,
         "op8_license_scan": licenses.query,
         "op9_source_mix": mixing.query,
+        "op10_ngram_jaccard_join": jaccard.query,
     }
 
 
@@ -22,4 +23,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_toxicity": toxicity.query,
         "op8_license_scan": licenses.sql(),
         "op9_source_mix": mixing.sql(),
+        "op10_ngram_jaccard_join": jaccard.sql(),
     }
