@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, licenses, mixing, quality, toxicity
+from . import bpe, jaccard, licenses, mixing, neardup, quality, topk, toxicity
 from .shared import Query
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_voronoi_topk": topk.query,
+        "op4_pivot_permutation_neardup": neardup.query,
         "op5_bpe_round_trip": bpe.query,
         "op6_quality_classifier": quality.query,
         "op7_toxicity": toxicity.query,
@@ -19,8 +21,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op6_quality_classifier": quality.query,
-        "op7_toxicity": toxicity.query,
+        "op2_voronoi_topk": topk.sql(),
+        "op4_pivot_permutation_neardup": neardup.sql(),
         "op8_license_scan": licenses.sql(),
         "op9_source_mix": mixing.sql(),
         "op10_ngram_jaccard_join": jaccard.sql(),

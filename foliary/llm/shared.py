@@ -82,3 +82,35 @@ def text_or_empty(df: DataFrame, column: str = "text") -> DataFrame:
 
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Slices of consecutive rows with equal integer ``keys``; a run that goes over batches comes in several slices."""
+    import numpy as np
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield tuple(int(c[a]) for c in columns), batch.slice(a, b - a)
+
+
+def matrix(column: pa.Array, dtype: str = "f8"):
+    """The rows of a list column of equal lengths as a matrix."""
+    import numpy as np
+
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(flat, dtype).reshape(len(column), -1)
+
+
+def finite(vector: str = "embedding"):
+    """Whether a vector is not null or empty and holds neither nulls nor non-finite numbers."""
+    from pyspark.sql import functions as F
+
+    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(good & (F.size(vector) > 0), F.lit(False))
