@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, licenses, mixing, neardup, quality, topk, toxicity
+from . import bpe, jaccard, licenses, mixing, neardup, quality, suffixes, topk, toxicity
 from .shared import Query
 
 
 def queries() -> dict[str, Query]:
     return {
         "op2_voronoi_topk": topk.query,
+        "op3_suffix_dedup": suffixes.query,
         "op4_pivot_permutation_neardup": neardup.query,
         "op5_bpe_round_trip": bpe.query,
         "op6_quality_classifier": quality.query,
