@@ -5,13 +5,157 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import catalog, html, manifest, outputs, paged, slides, tasks
+from ..sources.files import table
+from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def pdf_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.pdf(spark, sf_dir).select("doc_id", paged.pdf_markdown(F.col("result")).alias("markdown"))
+
+
+def keynote_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.keynote(spark, sf_dir).select("conv_id", paged.keynote_markdown(F.col("result")).alias("markdown"))
+
+
+def docx_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.docx(spark, sf_dir).select("o_orderkey", paged.docx_markdown(F.col("result")).alias("markdown"))
+
+
+def pptx_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.decks(spark, sf_dir).select("slide", slides.markdown(F.col("deck")).alias("markdown"))
+
+
+def pptx_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = adapters.shapes(spark, sf_dir).where(~F.col("hidden"))
+    return shown.where((text.trimmed(F.col("txt")) != "") | (F.col("w") > 0) | (F.col("h") > 0)).select("slide", "ord", "x", "y", "w", "h", "txt")
+
+
+def pptx_virtual_container(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = adapters.shapes(spark, sf_dir).where(~F.col("hidden"))
+    child, mother = s.alias("c"), s.alias("m")
+    over = (F.col("m.w") * F.col("m.h") > F.col("c.w") * F.col("c.h")) & (F.col("m.x") < F.col("c.x") + F.col("c.w")) & (F.col("c.x") < F.col("m.x") + F.col("m.w")) & (F.col("m.y") < F.col("c.y") + F.col("c.h")) & (F.col("c.y") < F.col("m.y") + F.col("m.h"))
+    away = (F.col("c.x") - F.col("m.x")) * (F.col("c.x") - F.col("m.x")) + (F.col("c.y") - F.col("m.y")) * (F.col("c.y") - F.col("m.y"))
+    pairs = child.join(mother, (F.col("c.slide") == F.col("m.slide")) & over).select("c.slide", "c.ord", F.col("m.ord").alias("mother"), F.struct((F.col("m.w") * F.col("m.h")).alias("area"), away.alias("away"), F.col("m.ord").alias("ord")).alias("key"))
+    return pairs.groupBy("slide", "ord").agg(F.min_by("mother", "key").alias("mother"))
+
+
+def pptx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of shapes with text and height: one that begins less than the tolerance below all before it goes on with the row."""
+    w = W.partitionBy("slide").orderBy("y", "x", "ord")
+    s = adapters.shapes(spark, sf_dir).where(~F.col("hidden")).withColumn("gap", F.col("y") - F.max(F.col("y") + F.col("h")).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    new = (F.col("gap").isNull() | (F.col("gap") == 0) | (F.col("gap") > 9000)).cast("int")
+    rows = s.withColumn("row", F.sum(new).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return rows.groupBy("slide", "row").agg(F.count("*").alias("shapes"), F.min("y").alias("top"), F.max(F.col("y") + F.col("h")).alias("bottom"))
+
+
+def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", html.converted(F.col("html"), F.col("url")).alias("r")).select("page_id", "r.markdown", "r.error")
+
+
+def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.replace(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1), F.lit("&amp;"), F.lit("&"))
+    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_replace(found, r"[ \t\r\f]+", " ")).alias("title"))
+
+
+def route_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.extension_of(F.col("url")).alias("ext"), F.lit("html.getByURL").alias("task_type"))
+
+
+def route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("name")
+    return adapters.manifest(spark, sf_dir).select(
+        "doc_id", text.extension_of(name).alias("ext"), catalog.parse_type(name).alias("parse"), catalog.convert_type(F.lit("image"), name).alias("image"),
+        catalog.convert_type(F.lit("pdf"), name).alias("pdf"), catalog.compress_type(name).alias("compress"), catalog.extract_type(F.lit(None).cast("string"), name).alias("extract"),
+    )
+
+
+def convert_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = adapters.manifest(spark, sf_dir).select((F.col("doc_id") / 3).cast("bigint").alias("job"), "name")
+    return catalog.validated(jobs, F.lit("image"))
+
+
+def task_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.task_catalog(spark)
+
+
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.manifest(spark, sf_dir)
+
+
+def upload_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = adapters.manifest(spark, sf_dir)
+    return manifest.upload_needed(files, files.where("doc_id % 2 = 0")).select("doc_id", "name", "hash")
+
+
+def inline_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.inline_decision(adapters.manifest(spark, sf_dir), "source")
+
+
+def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.manifest(spark, sf_dir).select("doc_id", F.explode(manifest.parts(F.col("bytes"), 1024)).alias("p")).select("doc_id", "p.*")
+
+
+def tasks_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.page(tasks.latest(adapters.task_log(spark, sf_dir)), start=10, most=50)
+
+
+def tasks_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.total(adapters.task_log(spark, sf_dir), "pdf.parse")
+
+
+def task_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.latest(adapters.task_log(spark, sf_dir))
+
+
+def task_first_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.first_final(adapters.task_log(spark, sf_dir))
+
+
+def task_until_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.until_final(adapters.task_log(spark, sf_dir)).groupBy("task_id").agg(F.count("*").alias("snapshots"), F.max("seq").alias("last_seq"))
+
+
+def task_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.waited(adapters.task_log(spark, sf_dir), 86400)
+
+
+def task_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = adapters.task_log(spark, sf_dir).groupBy("task_id").agg(F.count_if(F.col("status") == "completed").alias("done"), F.count("*").alias("parts"))
+    return done.select("task_id", F.round(manifest.progress(F.col("done"), F.col("parts")) * 10000).cast("bigint").alias("progress"))
+
+
+def output_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = adapters.manifest(spark, sf_dir).where("bytes > 0").withColumn("url", F.concat(F.lit("https://h/"), F.col("name")))
+    ranked = files.withColumn("at", F.row_number().over(W.partitionBy("source").orderBy("doc_id"))).join(files.groupBy("source").agg(F.count("*").alias("total")), "source")
+    return ranked.select("source", "doc_id", outputs.sink_kind(F.col("total"), F.lit("out")).alias("sink"), outputs.numbered(F.col("at"), F.col("total"), F.col("url")).alias("file"))
+
+
+def is_retriable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.element_at(F.array(*map(F.lit, (200, 404, 502, 604))), (F.col("event_id") % 4 + 1).cast("int"))
+    message = F.element_at(F.array(*map(F.lit, ("Network down", "API Error (502): x", "API Error (403): timeout", "broken"))), (F.col("event_id") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", text.retriable(F.when(F.col("event_type") == "error", status), message).alias("retriable"))
+
+
+#: Each with its own name.
+ALL = (
+    pdf_markdown, keynote_markdown, docx_markdown, pptx_markdown, pptx_participants, pptx_virtual_container, pptx_rows, html_markdown, html_title,
+    route_parse, route_files, convert_validation, task_catalog, file_manifest, upload_needed, inline_decision, chunk_plan, tasks_page, tasks_total,
+    task_latest, task_first_final, task_until_final, task_outcome, task_progress, output_plan, is_retriable,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {}
+    return {q.__name__: q for q in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .oracles import SQL
+
+    return dict(SQL)
