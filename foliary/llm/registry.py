@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, licenses, mixing, neardup, quality, suffixes, topk, toxicity
+from . import bpe, extraction, jaccard, licenses, mixing, neardup, quality, suffixes, topk, toxicity
 from .shared import Query
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extraction": extraction.query,
         "op2_voronoi_topk": topk.query,
         "op3_suffix_dedup": suffixes.query,
         "op4_pivot_permutation_neardup": neardup.query,
