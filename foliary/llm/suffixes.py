@@ -253,7 +253,10 @@ def _cleaned(data: bytes, runs: list | None, length: int) -> tuple[bytes, int, i
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with kept (the bytes that stay), n_bytes, n_removed and n_spans."""
+    """``docs`` (doc_id, text and any others) with kept (the bytes that stay), n_bytes, n_removed and n_spans.
+
+    The text becomes what stays of it; of a character that a removed run cuts, no bytes stay in the text.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -272,7 +275,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
             data = [t.encode() for t in batch.column("text").to_pylist()]
             out = [_cleaned(d, r, length) for d, r in zip(data, batch.column("_runs").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array([len(d) for d in data], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())], [*names, *added]
+                [*[batch.column(n) if n != "text" else pa.array([o[0].decode("utf-8", "ignore") for o in out], pa.string()) for n in names], pa.array([len(d) for d in data], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())], [*names, *added]
             )
 
     return joined.mapInArrow(run, schema)
