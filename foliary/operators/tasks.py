@@ -55,6 +55,20 @@ def failure(error: Column) -> Column:
     return F.concat(F.lit("Task failed: "), F.coalesce(F.when(error != "", error), F.lit("Unknown error")))
 
 
+def started(log: DataFrame) -> DataFrame:
+    """The snapshots that starting would add: tasks that were never more than pending begin to run."""
+    seen = latest(log)
+    return seen.where(F.col("status") == "pending").select("task_id", F.lit("running").alias("status"), "ts", (F.col("seq") + 1).alias("seq"))
+
+
+def request_id(headers: Column, body: Column) -> Column:
+    """Id of a failed request from its headers (a map with lower-case names), else from its body (variant)."""
+    names = ("x-request-id", "request-id", "x-correlation-id")
+    keys = ("requestId", "request_id", "reqId", "traceId")
+    found = [F.try_element_at(headers, F.lit(n)) for n in names] + [F.try_variant_get(body, f"$.{k}", "string") for k in keys]
+    return F.coalesce(*[F.when(x != "", x) for x in found])
+
+
 def deleted(tasks: DataFrame, gone: DataFrame) -> DataFrame:
     return tasks.join(gone.select("task_id").distinct(), "task_id", "left_anti")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators.catalog import COMPRESS, CONVERT, EXTRACT, MULTI_SOURCE, PARSE, TASK_TYPES
+from ..operators.validation import GENERATION_FILES, OCR_FILES, TRANSLATION_FILES
 
 
 def _case(of: dict[str, str], what: str = "ext") -> str:
@@ -89,6 +90,23 @@ SELECT task_id, CAST(round(CASE WHEN done >= parts THEN 1.0::DOUBLE ELSE 0.95::D
     "output_plan": f"""
 WITH {_MANIFEST}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i, count(*) OVER (PARTITION BY source) AS total FROM f WHERE bytes > 0)
 SELECT source, doc_id, CASE WHEN total = 1 THEN 'file' ELSE 'directory' END AS sink, lpad(CAST(i AS VARCHAR), CAST(greatest(2, length(CAST(total AS VARCHAR))) AS INTEGER), '0') || {_EXT.format("name")} AS file FROM r""",
+    "output_files": f"""
+WITH {_MANIFEST} SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS at, 'https://h/' || name AS url FROM f""",
+    "event_stream": f"""
+WITH {_LOG} SELECT task_id, count(*) AS events, arg_min(status, (ts, seq)) FILTER (WHERE status IN ('completed', 'failed')) AS outcome, arg_min(seq, (ts, seq)) FILTER (WHERE status IN ('completed', 'failed')) AS seq
+FROM log GROUP BY task_id""",
+    "task_started": f"WITH {_LOG}, t AS ({_LATEST}) SELECT task_id, 'running' AS status, ts, seq + 1 AS seq FROM t WHERE status = 'pending'",
+    "task_deleted": f"""
+WITH {_LOG}, t AS ({_LATEST}), e AS (SELECT task_id, arg_min(status, (ts, seq)) AS status FROM log WHERE status IN ('completed', 'failed') GROUP BY task_id)
+SELECT t.* FROM t WHERE task_id NOT IN (SELECT task_id FROM e WHERE status = 'failed')""",
+    "job_validation": f"""
+WITH {_MANIFEST}, x AS (SELECT doc_id // 3 AS job, name, {_EXT.format("name")} AS ext FROM f),
+j AS (SELECT job, count(*) AS n, bool_and(ext = '.pptx') AS pptx, bool_and(ext IN {GENERATION_FILES}) AS known, arg_min(ext, name) AS ext FROM x GROUP BY job)
+SELECT job, CASE WHEN n < 2 THEN 'INVALID_ARGS' WHEN NOT pptx THEN 'UNSUPPORTED_TYPE' END AS join_error,
+       CASE WHEN n > 2 THEN 'GENERATION_TOO_MANY_FILES' WHEN NOT known THEN 'UNSUPPORTED_TYPE' END AS generation_error,
+       CASE WHEN job % 2 <> 0 THEN 'INVALID_TARGET_LANGUAGE' WHEN ext NOT IN {TRANSLATION_FILES} THEN 'UNSUPPORTED_TYPE' END AS translation_error,
+       CASE WHEN ext NOT IN {OCR_FILES} THEN 'UNSUPPORTED_TYPE' END AS ocr_error
+FROM j""",
     "is_retriable": """
 WITH m AS (SELECT event_id, CASE WHEN event_type = 'error' THEN [200, 404, 502, 604][event_id % 4 + 1] END AS status, ['Network down', 'API Error (502): x', 'API Error (403): timeout', 'broken'][event_id % 3 + 1] AS message FROM events)
 SELECT event_id, CASE WHEN status IS NOT NULL THEN status IN (502, 604) WHEN regexp_matches(message, '(?i)API Error \\(\\d{3}') THEN regexp_matches(message, '(502|604)')

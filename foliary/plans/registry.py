@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import catalog, html, manifest, outputs, paged, slides, tasks
+from ..operators import catalog, html, manifest, nested, outputs, paged, slides, tasks, validation
 from ..sources.files import table
+from ..streaming.events import event_bodies
 from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,11 +144,48 @@ def is_retriable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", text.retriable(F.when(F.col("event_type") == "error", status), message).alias("retriable"))
 
 
+def output_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files found in result trees: lists of [address, bytes, hash] by source."""
+    files = adapters.manifest(spark, sf_dir)
+    entry = F.to_json(F.array(F.concat(F.lit("https://h/"), F.col("name")), F.col("bytes").cast("string"), F.col("hash")))
+    trees = files.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", entry.alias("e")))).alias("s"))
+    tree = F.concat(F.lit('{"files":['), F.array_join(F.transform("s", lambda s: s["e"]), ","), F.lit("]}"))
+    return trees.select("source", F.posexplode(nested.files_of_json(tree)).alias("at", "url"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each task's log as one event-stream text, and the status of its first final event."""
+    log = adapters.task_log(spark, sf_dir)
+    event = F.concat(F.lit("event: task\ndata: "), F.to_json(F.struct("status", "seq")), F.lit("\n\n"))
+    streams = log.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", event.alias("event")))).alias("s"))
+    bodies = streams.select("task_id", event_bodies(F.array_join(F.transform("s", lambda s: s["event"]), "")).alias("bodies"))
+    ends = F.filter(F.transform("bodies", lambda b: F.from_json(b, "status string, seq bigint")), lambda e: e["status"].isin(*tasks.FINAL))
+    return bodies.select("task_id", F.size("bodies").cast("bigint").alias("events"), F.get(ends, F.lit(0))["status"].alias("outcome"), F.get(ends, F.lit(0))["seq"].alias("seq"))
+
+
+def task_started(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.started(adapters.task_log(spark, sf_dir))
+
+
+def task_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = adapters.task_log(spark, sf_dir)
+    return tasks.deleted(tasks.latest(log), tasks.first_final(log).where("status = 'failed'"))
+
+
+def job_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = adapters.manifest(spark, sf_dir).groupBy((F.col("doc_id") / 3).cast("bigint").alias("job")).agg(F.array_sort(F.collect_list("name")).alias("files"), F.min("source").alias("source"))
+    first = F.element_at("files", 1)
+    return jobs.select(
+        "job", validation.join_error(F.col("files")).alias("join_error"), validation.generation_error(F.lit(None).cast("string"), F.col("files")).alias("generation_error"),
+        validation.translation_error(F.lit("auto"), F.when(F.col("job") % 2 == 0, "de").otherwise("xx"), first).alias("translation_error"), validation.ocr_error(F.lit("en"), first).alias("ocr_error"),
+    )
+
+
 #: Each with its own name.
 ALL = (
     pdf_markdown, keynote_markdown, docx_markdown, pptx_markdown, pptx_participants, pptx_virtual_container, pptx_rows, html_markdown, html_title,
     route_parse, route_files, convert_validation, task_catalog, file_manifest, upload_needed, inline_decision, chunk_plan, tasks_page, tasks_total,
-    task_latest, task_first_final, task_until_final, task_outcome, task_progress, output_plan, is_retriable,
+    output_files, event_stream, task_started, task_deleted, job_validation, task_latest, task_first_final, task_until_final, task_outcome, task_progress, output_plan, is_retriable,
 )
 
 

@@ -115,3 +115,23 @@ def test_task_log(spark):
     assert tasks.until_final(log).count() == 3
     assert {r.task_id: r.status for r in tasks.latest(log).collect()} == {1: "failed", 2: "running"}
     assert [r.v for r in spark.createDataFrame([("",), ("e",)], "x string").select(tasks.failure(F.col("x")).alias("v")).collect()] == ["Task failed: Unknown error", "Task failed: e"]
+
+
+def test_validation(spark):
+    from foliary.operators import validation as v
+
+    df = spark.createDataFrame([(["a.pptx", "b.PPTX"],), (["a.pptx"],), (["a.pptx", "b.pdf"],), ([],)], "f array<string>")
+    assert [r.v for r in df.select(v.join_error(F.col("f")).alias("v")).collect()] == [None, "INVALID_ARGS", "UNSUPPORTED_TYPE", "INVALID_ARGS"]
+    assert [r.v for r in df.select(v.generation_error(F.lit(None).cast("string"), F.col("f")).alias("v")).collect()] == [None, None, None, "GENERATION_INPUT_REQUIRED"]
+    pair = spark.createDataFrame([("en", "de", "a.key"), ("xx", "de", "a.key"), ("auto", "auto", "a.key"), ("en", "de", "a.txt"), (None, "de", "a.key")], "s string, t string, f string")
+    got = [r.v for r in pair.select(v.translation_error(F.col("s"), F.col("t"), F.col("f")).alias("v")).collect()]
+    assert got == [None, "INVALID_SOURCE_LANGUAGE", "INVALID_TARGET_LANGUAGE", "UNSUPPORTED_TYPE", "INVALID_SOURCE_LANGUAGE"]
+    sides = spark.createDataFrame([("10", None), ("0", "5"), (None, None)], "w string, h string")
+    assert [r.v for r in sides.select(v.size_error(F.col("w"), F.col("h")).alias("v")).collect()] == [None, "INVALID_ARGS", None]
+
+
+def test_request_id(spark):
+    row = spark.createDataFrame([("k", '{"traceId": "b"}'), ("x-request-id", "{}")], "k string, b string").select(tasks.request_id(F.create_map("k", F.lit("h")), F.parse_json("b")).alias("r")).collect()
+    assert [r.r for r in row] == ["b", "h"]
+    body = spark.createDataFrame([('{"error": "no"}',), ('{"message": "", "msg": "m"}',)], "b string").select(tasks.error_message(F.parse_json("b")).alias("m")).collect()
+    assert [r.m for r in body] == ["no", "m"]
