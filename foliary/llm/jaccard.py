@@ -16,8 +16,9 @@ in which a near copy must lie:
 4. A region whose members are all in one component is done. The others lose
    their pivot and are joined again: two members can only be linked if their
    distances to an earlier pivot differ by no more than the distance of a link
-   (triangle inequality). Regions that are small by now are solved at once. This
-   goes on until no region is left, so no link is lost; every document of a large group of copies is measured against few
+   (triangle inequality). From then on a region has up to ``PIVOTS`` pivots a
+   level, taken from its smaller components. This goes on until no region is
+   left, so no link is lost; every document of a large group of copies is measured against few
    pivots rather than against all others.
 
 The operator returns classes: one row per document with its component. Null or
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -43,8 +45,8 @@ from .shingles import mix, sets
 BATCH = 1 << 21
 #: Parts beyond those that a pair needs to agree in one; so many empty parts give no key.
 SPARE = 2
-#: Regions of at most so many documents are solved at once from the second level on.
-SMALL = 48
+#: Pivots of a region at each level after the first.
+PIVOTS = 16
 
 
 @functools.lru_cache(maxsize=None)
@@ -150,18 +152,22 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     regions = written(members.join(shared, "region").distinct().withColumn("near", F.lit(None).cast("double")), "regions")
     needed = regions.select(F.col("x").alias("doc_id")).distinct()
     items = written(_only_sets(docs.join(needed, "doc_id", "left_semi"), width).dropDuplicates(["id"]), "items")
-    links = None
-    component = regions.sparkSession.createDataFrame([], "id long, component long")
-    first = True
+    component = written(docs.sparkSession.createDataFrame([], "id long, component long"), "component")
+    level = 0
     while True:
-        pairs = _pairs(regions, component, percent) if first else _pairs(regions, component, percent, every=True)
+        named = _named(regions, component)
+        if level:
+            named = written(named, "named")
+            chosen = written(_pivots(named), "pivots")
+        else:
+            chosen = named.groupBy("region").agg(F.min(F.struct("x", "n", "component", "near")).alias("p"))
+        pairs = _pairs(named, chosen, percent, once=not level)
         tested = written(_measured(pairs, items, percent), "measured")
-        new = tested.where("linked").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-        links = new if links is None else links.unionByName(new)
-        component = components(links)
-        # from the second level on, the pivots have met all members, and small regions are done
-        regions = written(_unfinished(regions if first else _remaining(regions, tested), component), "regions")
-        first = False
+        found = components(_renamed(_renamed(tested.where("linked").select("x", "pivot"), component, "x"), component, "pivot").select(F.col("x").alias("a"), F.col("pivot").alias("b")))
+        component = written(_extended(component, found), "component")
+        # from the second level on, the pivots have met all members of their regions that they can be linked with
+        regions = written(_unfinished(_remaining(regions, chosen, tested) if level else regions, component), "regions")
+        level += 1
         if regions.isEmpty():
             break
     named = component.select(F.col("id").alias("x"), "component")
@@ -172,39 +178,56 @@ def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
     return regions.join(component.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
 
 
-def _pairs(regions: DataFrame, component: DataFrame, percent: int, every: bool = False) -> DataFrame:
-    """Pairs of a member and a pivot that are in different components and in each other's windows.
+def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
+    return regions.join(component.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
 
-    At first a member meets the smallest of its pivots. Later it meets each, and in a region of
-    at most ``SMALL`` members each member is a pivot, so that the region is solved at once.
-    """
-    named = _named(regions, component)
-    far = (100 - percent) / 100 + 1e-9
-    pivot = F.struct("x", "n", "component", "near").alias("p")
-    solved = named.groupBy("region").agg(F.count("*").alias("m"), F.min(pivot).alias("p"))
 
-    def within(joined: DataFrame) -> DataFrame:
-        sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
-        triangle = F.col("near").isNull() | F.col("p.near").isNull() | (F.abs(F.col("near") - F.col("p.near")) <= far)
-        return joined.where("x <> p.x AND component <> p.component").where(sizes & triangle).select("x", F.col("p.x").alias("pivot"))
+def _renamed(links: DataFrame, component: DataFrame, end: str) -> DataFrame:
+    """The links with the component of that end instead of the document."""
+    to = component.select(F.col("id").alias(end), F.col("component").alias("_to"))
+    return links.join(to, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
 
-    if not every:
-        return within(named.join(solved, "region")).groupBy("x").agg(F.min("pivot").alias("pivot"))
-    large = named.join(solved.where(F.col("m") > SMALL), "region")
-    small = named.join(solved.where(F.col("m") <= SMALL).select("region"), "region", "left_semi")
-    both = small.join(small.select("region", pivot), "region").where("p.x < x")
-    return within(large).unionByName(within(both)).distinct()
 
+def _extended(component: DataFrame, found: DataFrame) -> DataFrame:
+    """Components of documents, after ``found`` has joined some components."""
+    onward = found.select(F.col("id").alias("component"), F.col("component").alias("_to"))
+    known = component.join(onward, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    return known.unionByName(found.join(component, "id", "left_anti"))
 
-def _remaining(regions: DataFrame, tested: DataFrame) -> DataFrame:
-    """The large regions without their pivots, each member with its distance to the pivot if that was measured."""
-    pivots = regions.groupBy("region").agg(F.count("*").alias("m"), F.min("x").alias("pivot")).where(F.col("m") > SMALL)
-    left = regions.join(pivots, "region").where("x <> pivot")
-    return left.join(tested.select("x", "pivot", F.col("distance").alias("_near")), ["x", "pivot"], "left").select("x", "n", "region", F.col("_near").alias("near"))
 
+def _pivots(named: DataFrame) -> DataFrame:
+    """Per region up to ``PIVOTS`` members outside its largest component, those of the smallest components first.
 
-def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
-    return regions.join(component.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    Any two members in different components include one outside the largest, so a region with
+    no more than that many such members is solved at this level. Ranks are taken in parts of a
+    region first, so that no region has to fit one task.
+    """
+    counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
+    largest = counts.groupBy("region").agg(F.max(F.struct("size", "component"))["component"].alias("largest"))
+    minor = named.join(counts, ["region", "component"]).join(largest, "region").where("component <> largest").withColumn("part", F.pmod(F.xxhash64("x"), F.lit(64)))
+    for keys in (("region", "part"), ("region",)):
+        minor = minor.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy("size", "x"))).where(F.col("rank") <= PIVOTS)
+    return minor.select("region", F.struct("x", "n", "component", "near").alias("p"))
+
+
+def _pairs(named: DataFrame, chosen: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Pairs of a member and a pivot that are in different components and in each other's windows; at first one pivot a member."""
+    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
+    near = F.col("near").isNull() | F.col("p.near").isNull() | (F.abs(F.col("near") - F.col("p.near")) <= (100 - percent) / 100 + 1e-9)
+    met = named.join(chosen, "region").where("x <> p.x AND component <> p.component").where(sizes & near).select(F.col("x"), F.col("p.x").alias("pivot"))
+    if once:
+        return met.groupBy("x").agg(F.min("pivot").alias("pivot"))
+    return met.select(F.greatest("x", "pivot").alias("x"), F.least("x", "pivot").alias("pivot")).distinct()
+
+
+def _remaining(regions: DataFrame, chosen: DataFrame, tested: DataFrame) -> DataFrame:
+    """The regions without their pivots, each member with its distance to the first pivot if that was measured."""
+    gone = chosen.select("region", F.col("p.x").alias("x"))
+    first = chosen.groupBy("region").agg(F.min("p.x").alias("pivot"))
+    left = regions.join(gone, ["region", "x"], "left_anti").join(first, "region", "left")
+    measured = tested.select("x", "pivot", F.col("distance").alias("_near"))
+    measured = measured.unionByName(measured.select(F.col("pivot").alias("x"), F.col("x").alias("pivot"), "_near"))
+    return left.join(measured, ["x", "pivot"], "left").select("x", "n", "region", F.col("_near").alias("near"))
 
 
 def _unfinished(regions: DataFrame, component: DataFrame) -> DataFrame:
