@@ -16,9 +16,10 @@ in which a near copy must lie:
 4. A region whose members are all in one component is done. The others lose
    their pivot and are joined again: two members can only be linked if their
    distances to an earlier pivot differ by no more than the distance of a link
-   (triangle inequality). From then on a region has up to ``PIVOTS`` pivots a
-   level, taken from its smaller components. This goes on until no region is
-   left, so no link is lost; every document of a large group of copies is measured against few
+   (triangle inequality). At the first levels each member is tried against a few
+   pivots, later ones of the largest component of a region; then a region has up
+   to ``PIVOTS`` pivots a level, taken from its smaller components, that meet all
+   its members. This goes on until no region is left, so no link is lost; every document of a large group of copies is measured against few
    pivots rather than against all others.
 
 The operator returns classes: one row per document with its component. Null or
@@ -34,19 +35,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import slices, table, written
+from .shared import drop_written, slices, table, written
 from .shingles import mix, sets
 
 BATCH = 1 << 21
 #: Parts beyond those that a pair needs to agree in one; so many empty parts give no key.
 SPARE = 2
-#: Pivots of a region at each level after the first.
-PIVOTS = 16
+#: Levels at which members are tried against a few pivots; pivots of a region at each level after them.
+TRIES, PIVOTS = 2, 16
 
 
 @functools.lru_cache(maxsize=None)
@@ -154,22 +155,20 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     items = written(_only_sets(docs.join(needed, "doc_id", "left_semi"), width).dropDuplicates(["id"]), "items")
     component = written(docs.sparkSession.createDataFrame([], "id long, component long"), "component")
     level = 0
-    while True:
-        named = _named(regions, component)
-        if level:
-            named = written(named, "named")
-            chosen = written(_pivots(named), "pivots")
-        else:
-            chosen = named.groupBy("region").agg(F.min(F.struct("x", "n", "component", "near")).alias("p"))
-        pairs = _pairs(named, chosen, percent, once=not level)
+    while not regions.isEmpty():
+        named = _named(regions, component) if not level else written(_named(regions, component), "named")
+        final = level > TRIES
+        chosen = written(_pivots(named), "pivots") if final else None
+        pairs = _pairs(named, chosen, percent) if final else _tries(named, percent, level)
         tested = written(_measured(pairs, items, percent), "measured")
         found = components(_renamed(_renamed(tested.where("linked").select("x", "pivot"), component, "x"), component, "pivot").select(F.col("x").alias("a"), F.col("pivot").alias("b")))
+        before = [tested, component, regions, *([named] if level else []), *([chosen] if final else [])]
         component = written(_extended(component, found), "component")
-        # from the second level on, the pivots have met all members of their regions that they can be linked with
-        regions = written(_unfinished(_remaining(regions, chosen, tested) if level else regions, component), "regions")
+        # pivots of the final levels have met all members of their regions that they can be linked with
+        regions = written(_unfinished(_remaining(regions, chosen, tested) if final else regions, component), "regions")
         level += 1
-        if regions.isEmpty():
-            break
+        for done in before:  # what later levels do not read
+            drop_written(done)
     named = component.select(F.col("id").alias("x"), "component")
     return alike.join(named, "x", "left").select("doc_id", "n_shingles", F.coalesce("component", "x", "doc_id").alias("component_id"))
 
@@ -202,22 +201,50 @@ def _pivots(named: DataFrame) -> DataFrame:
     no more than that many such members is solved at this level. Ranks are taken in parts of a
     region first, so that no region has to fit one task.
     """
-    counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
-    largest = counts.groupBy("region").agg(F.max(F.struct("size", "component"))["component"].alias("largest"))
+    counts, largest = _largest(named)
     minor = named.join(counts, ["region", "component"]).join(largest, "region").where("component <> largest").withColumn("part", F.pmod(F.xxhash64("x"), F.lit(64)))
     for keys in (("region", "part"), ("region",)):
         minor = minor.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy("size", "x"))).where(F.col("rank") <= PIVOTS)
     return minor.select("region", F.struct("x", "n", "component", "near").alias("p"))
 
 
-def _pairs(named: DataFrame, chosen: DataFrame, percent: int, once: bool) -> DataFrame:
-    """Pairs of a member and a pivot that are in different components and in each other's windows; at first one pivot a member."""
+def _largest(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the components in each region, and the largest of each region."""
+    counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
+    return counts, counts.groupBy("region").agg(F.max(F.struct("size", "component"))["component"].alias("largest"))
+
+
+def _in_windows(percent: int) -> Column:
     sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
     near = F.col("near").isNull() | F.col("p.near").isNull() | (F.abs(F.col("near") - F.col("p.near")) <= (100 - percent) / 100 + 1e-9)
-    met = named.join(chosen, "region").where("x <> p.x AND component <> p.component").where(sizes & near).select(F.col("x"), F.col("p.x").alias("pivot"))
-    if once:
-        return met.groupBy("x").agg(F.min("pivot").alias("pivot"))
-    return met.select(F.greatest("x", "pivot").alias("x"), F.least("x", "pivot").alias("pivot")).distinct()
+    return sizes & near
+
+
+def _tries(named: DataFrame, percent: int, level: int) -> DataFrame:
+    """A few pairs for each member: with the smallest pivot of its regions at first, then with other members of the largest components.
+
+    Most members of a group of copies come into one component by this, at a number of pairs in proportion to the members.
+    """
+    point = F.struct("x", "n", "component", "near")
+    if not level:
+        pivots = named.groupBy("region").agg(F.min(point).alias("p"))
+    else:
+        largest = _largest(named)[1]
+        drawn = F.struct(F.xxhash64("x", F.lit(level)).alias("draw"), point.alias("p"))
+        pivots = named.join(largest, "region").where("component = largest").groupBy("region").agg(F.min(drawn)["p"].alias("p"))
+    met = named.join(pivots, "region").where("x <> p.x AND component <> p.component").where(_in_windows(percent))
+    if not level:
+        return met.groupBy("x").agg(F.min("p.x").alias("pivot"))
+    # of its pivots each member takes one in each of four parts
+    part = F.pmod(F.xxhash64("p.x", F.lit(level)), F.lit(4))
+    drawn = met.groupBy("x", part.alias("part")).agg(F.min_by("p.x", F.xxhash64("p.x", "x")).alias("pivot"))
+    return drawn.select(F.greatest("x", "pivot").alias("x"), F.least("x", "pivot").alias("pivot")).distinct()
+
+
+def _pairs(named: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a member and a pivot that are in different components and in each other's windows."""
+    met = named.join(chosen, "region").where("x <> p.x AND component <> p.component").where(_in_windows(percent))
+    return met.select(F.greatest("x", "p.x").alias("x"), F.least("x", "p.x").alias("pivot")).distinct()
 
 
 def _remaining(regions: DataFrame, chosen: DataFrame, tested: DataFrame) -> DataFrame:

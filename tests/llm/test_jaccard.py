@@ -4,7 +4,7 @@ import numpy as np
 
 from foliary.llm import jaccard, shingles
 from foliary.llm.graph import components
-from tests.llm.fixture import documents, duck, rows, same
+from tests.llm.fixture import documents, rows, same
 
 
 def texts(seed=3):
@@ -13,37 +13,34 @@ def texts(seed=3):
     vocabulary = [f"w{i}" for i in range(400)]
     draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
     out = []
-    for size in (8, 25, 60, 200):
-        for _ in range(4):
+    for size in (8, 40, 120):
+        for _ in range(2):
             base = draw(size)
-            for _ in range(rng.randint(2, 12)):
+            for _ in range(rng.randint(2, 6)):
                 out.append(" ".join(base))
                 base = list(base)
                 for _ in range(rng.randint(0, max(1, size // 40))):
                     base[rng.randrange(size)] = rng.choice(vocabulary)
     passage = draw(60)
-    out += [" ".join(passage + draw(rng.randint(3, 60))) for _ in range(25)]
+    out += [" ".join(passage + draw(rng.randint(3, 60))) for _ in range(12)]
     out += ["", "   \n", "one", "ONE", "one two", "One\tTwo", "a a a a a", "a a a"]
     return out
 
 
 def corpus(spark):
     made = [(7 * i % 1009, t, "s") for i, t in enumerate(texts())]
-    return documents(spark, [*made, (2000, None, "s"), (2001, "x " * 30000, "s"), (2002, "x " * 29999, "s"), made[0], made[0]])
+    return documents(spark, [*made, (2000, None, "s"), (None, texts()[0], "s"), (2001, "x " * 30000, "s"), made[0], made[0]])
 
 
-def test_same_as_sql_and_survivors(spark):
+def test_same_as_sql(spark):
     docs = corpus(spark)
     same(jaccard.classes(docs), jaccard.sql(), documents=docs)
-    kept = rows(jaccard.survivors(docs, 5, 80))
-    want = {r["component_id"] for r in duck(jaccard.sql(5, 80), documents=docs)}
-    assert sorted(r["doc_id"] for r in kept) == sorted(want)
-    assert set(kept[0]) == set(docs.columns)
 
 
-def test_null_doc_id_and_empty_table(spark):
-    docs = documents(spark, [(None, "a b c d", "s"), (1, "a b c d", "s"), (2, "A B C D", "s")])
-    assert {(r["doc_id"], r["component_id"]) for r in rows(jaccard.classes(docs))} == {(None, None), (1, 1), (2, 1)}
+def test_survivors_of_few_rows(spark):
+    docs = documents(spark, [(None, "a b c d e f", "s"), (1, "a b c d e f", "s"), (2, "A B C D E F", "s"), (3, "", "s"), (4, None, "s"), (1, "a b c d e f", "s"), (5, "x", "s")])
+    kept = rows(jaccard.survivors(docs))
+    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 3, 4, 5] and set(kept[0]) == set(docs.columns)
     assert jaccard.survivors(docs.limit(0)).count() == 0
 
 
@@ -71,7 +68,7 @@ def test_shingles_do_not_depend_on_neighbours():
 
 def test_components(spark):
     rng = random.Random(1)
-    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)] + [(500, 600 + i) for i in range(50)]
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(12)] + [(500, 600 + i) for i in range(50)]
     root = {}
 
     def find(x):
