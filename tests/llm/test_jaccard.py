@@ -29,7 +29,7 @@ def texts(seed=3):
 
 def corpus(spark):
     made = [(7 * i % 1009, t, "s") for i, t in enumerate(texts())]
-    return documents(spark, [*made, (2000, None, "s"), (None, texts()[0], "s"), (2001, "x " * 30000, "s"), made[0], made[0]])
+    return documents(spark, [*made, (2000, None, "s"), (None, texts()[0], "s"), (2001, "x " * 500, "s"), made[0], made[0]])
 
 
 def test_same_as_sql(spark):
