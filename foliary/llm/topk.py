@@ -2,10 +2,11 @@
 
 Pivots are a bounded sample of the vectors; every vector belongs to the group of
 its nearest pivot. Each group is summed up by its radius and by the distances of
-its k + 1 vectors nearest to the pivot. For a query q and a vector x at distance
-d from its pivot p, q.x lies within |q| d of q.p; so the summaries give each
-query a score that k + 1 vectors are sure to reach, and each group the highest
-score that it can hold. A query is sent only to the groups whose highest score
+the k + 1 vectors nearest to the pivot, of one row for each vec_id. For a query q
+and a vector x at distance d from its pivot p, q.x lies within |q| d of q.p; so
+the summaries give each query a score that k + 1 vectors of different vec_id are
+sure to reach, at most one of which is its own, and each group the highest score
+that it can hold. A query is sent only to the groups whose highest score
 is not below its sure score, and solved there against blocks of the group; the
 best of all blocks are its answer. Blocks have a bounded number of rows, so that
 a group of any size is spread over tasks.
@@ -58,9 +59,11 @@ def search(vectors: DataFrame, is_query, k: int, n_pivots: int = PIVOTS, block:
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(group, pa.int32()), pa.array(distance, pa.float64())], ["vec_id", "x", "cell", "distance"])
 
     placed = written(vectors.select("vec_id", "x").mapInArrow(assign, "vec_id long, x array<long>, cell int, distance double"), "cells")
-    # the k + 1 smallest distances of each group: of each file's part first, then of the whole group
+    # the k + 1 smallest distances of each group: of each part first, then of the whole group;
+    # a vec_id counts once in all groups, since no row of it is a candidate for its own query
     part = F.pmod(F.xxhash64("vec_id"), F.lit(64))
-    near = placed.select("cell", "distance", part.alias("part")).withColumn("r", F.row_number().over(W.partitionBy("cell", "part").orderBy("distance"))).where(F.col("r") <= k + 1)
+    single = placed.groupBy("vec_id").agg(F.min(F.struct("distance", "cell")).alias("s"))
+    near = single.select("s.cell", "s.distance", part.alias("part")).withColumn("r", F.row_number().over(W.partitionBy("cell", "part").orderBy("distance"))).where(F.col("r") <= k + 1)
     closest = {r.cell: r.d[: k + 1] for r in near.groupBy("cell").agg(F.sort_array(F.collect_list("distance")).alias("d")).collect()}
     groups = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()
     radius = np.array([next((r.radius for r in groups if r.cell == j), -1.0) for j in range(len(pivots))])

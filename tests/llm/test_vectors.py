@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from foliary.llm import neardup, topk
-from tests.llm.fixture import rows, same
+from tests.llm.fixture import duck, rows, same
 
 
 def vectors(spark, n=400, d=12):
@@ -26,6 +26,28 @@ def test_search_as_sql(spark):
     same(topk.search(topk.scaled(v), F.col("vec_id") % 100 == 0, 10, n_pivots=8, block=50), topk.sql(), embeddings=v)
 
 
+def test_search_with_repeated_query_rows(spark):
+    """vec_id 300 stands on two vectors, and query rows are repeated identically inside tight clusters."""
+    rng = random.Random(6)
+    centres = [[rng.gauss(0, 1) for _ in range(12)] for _ in range(40)]
+    # fewer vectors in a cluster than are asked for
+    made = [(10000 + 20 * i, [x + rng.gauss(0, 0.01) for x in centres[i % 40]], "x", 1) for i in range(200)]
+    made += [row for row in made if row[0] % 1000 == 0 for _ in range(11)]
+    tight = spark.createDataFrame(made, "vec_id long, embedding array<float>, score string, rank int")
+    same(topk.search(topk.scaled(tight), F.col("vec_id") % 100 == 0, 10, n_pivots=160), topk.sql(), embeddings=tight)
+    v = vectors(spark).unionByName(tight.where("vec_id % 100 <> 0"))
+    two = [r.embedding for r in v.where("vec_id = 300").collect()]
+    got = rows(topk.search(topk.scaled(v), F.col("vec_id") % 100 == 0, 10, n_pivots=32, block=50))
+    either = []
+    for own in two:  # as a query it is one of its rows, as a candidate both
+        one = v.where("vec_id <> 300").unionByName(v.where("vec_id = 300").limit(1).withColumn("embedding", F.array(*map(F.lit, own)).cast("array<float>")))
+        either.append([r for r in duck(topk.sql(), embeddings=one) if r["query_id"] == 300])
+    assert [r for r in got if r["query_id"] == 300] in either
+    others = "FROM (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 100 = 0 AND vec_id <> 300)"
+    want = duck(topk.sql().replace("FROM (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 100 = 0)", others), embeddings=v)
+    assert [r for r in got if r["query_id"] != 300] == want
+
+
 def test_search_of_few_rows(spark):
     few = vectors(spark).where("vec_id in (0, 1, 2, 100)")
     same(topk.search(topk.scaled(few), F.col("vec_id") % 100 == 0, 10), topk.sql(), embeddings=few)
