@@ -23,8 +23,10 @@ in which a near copy must lie:
    pivots rather than against all others.
 
 The operator returns classes: one row per document with its component. Null or
-blank texts have an empty set and link with nothing. Rows of equal doc_id are
-one node; a row with a null doc_id links with nothing and has a null component.
+blank texts have an empty set and link with nothing. A doc_id may stand on several
+texts: each of their sets is a point of its own. In component ids, sets of equal
+smallest doc_id are one node, as in the SQL; survivors() goes by the sets alone.
+A row with a null doc_id links with nothing and has a null component.
 """
 
 from __future__ import annotations
@@ -96,8 +98,13 @@ def part_keys(many: list[np.ndarray], percent: int) -> list[np.ndarray]:
     return [np.concatenate(k) if k else np.zeros(0, np.uint64) for k in out]
 
 
+def _text_key() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64("text")
+
+
 def shingle_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the set; null if empty) and part keys of every document."""
+    """doc_id, text_key, n_shingles, set_key (digest of the set; null if empty) and part keys of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH):
@@ -105,20 +112,20 @@ def shingle_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found]
             keys = part_keys(found, percent)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in found], pa.int64()), pa.array(digest, pa.binary()), pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_key", "keys"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array([len(s) for s in found], pa.int64()), pa.array(digest, pa.binary()), pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "n_shingles", "set_key", "keys"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, keys array<long>")
+    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, keys array<long>")
 
 
 def _only_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH):
             found = sets([(t or "").encode() for t in batch.column("text").to_pylist()], width)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, items binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, items binary")
 
 
 def _measured(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
@@ -141,18 +148,23 @@ def _measured(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return both.select("x", "pivot", "items", "others").mapInArrow(run, "x long, pivot long, distance double, linked boolean")
 
 
-def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents linked at ``percent`` % similarity of their sets of ``width`` words."""
+def _points(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is known of every row (doc_id, text_key, n_shingles, set_key), the points, and the points' components.
+
+    A point (set_key, id) is one set; x and text_key name the first row that has it.
+    """
     sets_ = written(shingle_sets(docs, width, percent), "sets")
-    points = sets_.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("x"))
-    # equal sets: the smallest doc_id stands for all
-    alike = sets_.select("doc_id", "n_shingles", "set_key").join(points, "set_key", "left")
-    keyed = sets_.join(points.select(F.col("x").alias("doc_id"), F.col("set_key").alias("point")), "doc_id").where("set_key = point")
-    members = keyed.select(F.col("doc_id").alias("x"), F.col("n_shingles").alias("n"), F.explode("keys").alias("region"))
+    named = sets_.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    # ids are fixed by writing them; doc_id is none, as it may stand on several sets
+    points = written(named.select("set_key", F.col("first.doc_id").alias("x"), F.col("first.text_key").alias("text_key"), F.monotonically_increasing_id().alias("id")), "points")
+    first = points.select(F.col("x").alias("doc_id"), "text_key", "id")
+    keyed = sets_.where("set_key IS NOT NULL").join(first, ["doc_id", "text_key"])
+    members = keyed.select(F.col("id").alias("x"), F.col("n_shingles").alias("n"), F.explode("keys").alias("region"))
     shared = members.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").select("region")
     regions = written(members.join(shared, "region").distinct().withColumn("near", F.lit(None).cast("double")), "regions")
-    needed = regions.select(F.col("x").alias("doc_id")).distinct()
-    items = written(_only_sets(docs.join(needed, "doc_id", "left_semi"), width).dropDuplicates(["id"]), "items")
+    needed = first.join(regions.select(F.col("x").alias("id")).distinct(), "id", "left_semi")
+    texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(needed, ["doc_id", "text_key"])
+    items = written(_only_sets(texts, width).dropDuplicates(["id"]), "items")
     component = written(docs.sparkSession.createDataFrame([], "id long, component long"), "component")
     level = 0
     while not regions.isEmpty():
@@ -169,8 +181,24 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         level += 1
         for done in before:  # what later levels do not read
             drop_written(done)
-    named = component.select(F.col("id").alias("x"), "component")
-    return alike.join(named, "x", "left").select("doc_id", "n_shingles", F.coalesce("component", "x", "doc_id").alias("component_id"))
+    return sets_.select("doc_id", "text_key", "n_shingles", "set_key"), points, component
+
+
+def _with_component(points: DataFrame, component: DataFrame) -> DataFrame:
+    return points.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents linked at ``percent`` % similarity of their sets of ``width`` words."""
+    known, points, component = _points(docs, width, percent)
+    # sets of equal smallest doc_id are one node
+    ends = _with_component(points, component).groupBy("x").agg(F.min("component").alias("a"), F.array_distinct(F.collect_list("component")).alias("all"))
+    component = _extended(component, components(ends.where(F.size("all") > 1).select("a", F.explode("all").alias("b"))))
+    placed = _with_component(points, component)
+    smallest = placed.groupBy("component").agg(F.min("x").alias("component_id"))
+    to = placed.join(smallest, "component").select("set_key", "component_id")
+    found = known.join(to, "set_key", "left")
+    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
@@ -265,11 +293,16 @@ def _unfinished(regions: DataFrame, component: DataFrame) -> DataFrame:
 
 def survivors(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each class, the one of the smallest doc_id; documents with an empty set or a null doc_id stay."""
-    gone = classes(docs, width, percent).where("component_id <> doc_id").select("doc_id")
-    kept = docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    known, points, component = _points(docs, width, percent)
+    placed = _with_component(points, component)
+    first = placed.groupBy("component").agg(F.min(F.struct("x", "text_key")).alias("first"))
+    to = placed.join(first, "component").select("set_key", "first")
+    # by row and not by doc_id, which may stand on several texts
+    gone = known.where("doc_id IS NOT NULL").join(to, "set_key").where("doc_id <> first.x OR text_key <> first.text_key").select("doc_id", F.col("text_key").alias("_text_key"))
+    kept = docs.withColumn("_text_key", _text_key()).join(gone.distinct(), ["doc_id", "_text_key"], "left_anti")
     blank = F.coalesce(F.length(F.regexp_replace("text", r"[ \t-\r]", "")), F.lit(0)) == 0
     lone = kept.where(blank | F.col("doc_id").isNull())
-    return lone.unionByName(kept.where(~blank & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
+    return lone.unionByName(kept.where(~blank & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "_text_key"])).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

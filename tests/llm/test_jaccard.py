@@ -44,6 +44,20 @@ def test_survivors_of_few_rows(spark):
     assert jaccard.survivors(docs.limit(0)).count() == 0
 
 
+def test_doc_id_on_different_texts(spark):
+    """Rows are removed one by one, and each set of a doc_id is measured."""
+    rng = random.Random(5)
+    a, b, c = ([f"{k}{rng.randrange(300)}" for _ in range(100)] for k in "abc")
+    near = lambda t: " ".join([*t[:-1], "z"])
+    made = [(1, " ".join(a), "s"), (7, near(a), "s"), (7, " ".join(b), "s"), (9, near(b), "s"), (8, " ".join(c), "s"), (8, near(c), "s"), (8, " ".join(c), "s"), (10, near(c) + " y", "s"), (None, " ".join(b), "s")]
+    docs = documents(spark, made)
+    kept = [(r["doc_id"], r["text"].split()[0]) for r in rows(jaccard.survivors(docs))]
+    assert sorted(kept, key=str) == sorted([(1, a[0]), (7, b[0]), (8, c[0]), (None, b[0])], key=str)
+    same(jaccard.classes(docs), jaccard.sql(), documents=docs)
+    split = documents(spark, [(7, " ".join(a), "s"), (7, " ".join(b), "s"), (9, near(a), "s"), (11, near(b), "s")])
+    assert {(r["doc_id"], r["component_id"]) for r in rows(jaccard.classes(split))} == {(7, 7), (9, 7), (11, 7)}
+
+
 def test_linked_pairs_share_a_part_key():
     rng = np.random.default_rng(2)
     for n in (10, 12, 19, 40, 150, 700):
