@@ -58,6 +58,70 @@ def test_doc_id_on_different_texts(spark):
     assert {(r["doc_id"], r["component_id"]) for r in rows(jaccard.classes(split))} == {(7, 7), (9, 7), (11, 7)}
 
 
+def large_corpus(spark):
+    """Groups of up to 12 near copies, a passage shared by 25 texts, and texts of 30,000 words."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(400)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    out = []
+    for size in (8, 25, 60, 200):
+        for _ in range(4):
+            base = draw(size)
+            for _ in range(rng.randint(2, 12)):
+                out.append(" ".join(base))
+                base = list(base)
+                for _ in range(rng.randint(0, max(1, size // 40))):
+                    base[rng.randrange(size)] = rng.choice(vocabulary)
+    passage = draw(60)
+    out += [" ".join(passage + draw(rng.randint(3, 60))) for _ in range(25)]
+    long = draw(30000)
+    out += [" ".join(long), " ".join(long[700:]), "x " * 30000, "x " * 29999]
+    out += ["", "   \n", "one", "ONE", "one two", "One\tTwo", "a a a a a", "a a a"]
+    made = [(7 * i % 1009, t, "s") for i, t in enumerate(out)]
+    return documents(spark, [*made, (2000, None, "s"), made[0], made[0]])
+
+
+def plain_classes(docs, width, percent):
+    """doc_id: number of shingles and component, from all pairs of documents."""
+    found = {}
+    for r in docs.collect():
+        words = (r.text or "").lower().split()
+        found[r.doc_id] = {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+    part = {i: i for i in found}
+    for a in sorted(found):
+        for b in sorted(found):
+            common = len(found[a] & found[b]) if a < b else 0
+            if common and 100 * common >= percent * (len(found[a]) + len(found[b]) - common) and part[a] != part[b]:
+                low, high = sorted((part[a], part[b]))
+                part = {i: low if c == high else c for i, c in part.items()}
+    return {i: (len(s), part[i]) for i, s in found.items()}
+
+
+def test_classes_and_survivors_as_all_pairs(spark):
+    docs = large_corpus(spark)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(jaccard.classes(docs))}
+    assert got == {(i, *v) for i, v in plain_classes(docs, 3, 90).items()}
+    kept = rows(jaccard.survivors(docs, 5, 80))
+    assert sorted(r["doc_id"] for r in kept) == sorted({c for _, c in plain_classes(docs, 5, 80).values()})
+    assert set(kept[0]) == set(docs.columns)
+
+
+def test_linked_pairs_share_a_part_key_at_80_percent():
+    rng = np.random.default_rng(3)
+    tried = 0
+    for n in (5, 10, 12, 19, 40, 150, 700):
+        for _ in range(60):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            b = np.concatenate([a[rng.integers(0, n // 5 + 1) :], rng.integers(0, 1 << 63, rng.integers(0, n // 5 + 1)).astype(np.uint64)])
+            a, b = np.unique(a), np.unique(b)
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 80 * (len(a) + len(b) - common) and common < max(len(a), len(b)):
+                tried += 1
+                ka, kb = jaccard.part_keys([a, b], 80)
+                assert set(ka.tolist()) & set(kb.tolist())
+    assert tried > 50
+
+
 def test_linked_pairs_share_a_part_key():
     rng = np.random.default_rng(2)
     for n in (10, 12, 19, 40, 150, 700):
