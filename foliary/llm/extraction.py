@@ -74,6 +74,26 @@ class Node:
             parent.kids.append(self)
 
 
+def closed(source: str, end: int, tag: str, at: Node) -> re.Match | None:
+    """The closing tag of a button or option, unless the next one of its name or its container's end comes first."""
+    around, inside = set(), []
+    while at.parent:
+        around.add(at.tag)
+        at = at.parent
+    for m in TOKEN.finditer(source, end):
+        name = (m[2] or "").lower()
+        if name == tag:
+            return m if m[1] else None
+        if name in BLOCKS and not m[1]:
+            inside.append(name)
+        elif name in inside:
+            while inside.pop() != name:
+                pass
+        elif name in around:
+            return None
+    return None
+
+
 def tree(source: str) -> list[Node]:
     """All block nodes and text leaves in page order; the first is the root."""
     root = at = Node("html", None)
@@ -101,7 +121,9 @@ def tree(source: str) -> list[Node]:
         if tag in RAW and not m[1]:
             if tag in ("textarea", "select", "button"):
                 at.controls += 1
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, end)
+            if tag == "svg" and m[3].endswith("/"):
+                continue
+            close = closed(source, end, tag, at) if tag in ("button", "option") else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, end)
             if close:
                 end = close.end()
             elif tag in ("script", "style", "textarea", "title"):

@@ -37,6 +37,19 @@ def test_pages_of_the_table(model):
         assert got == "\n".join(b for b in blocks if b)
 
 
+def said(page):
+    return "|".join(extraction.flow(n) for n in extraction.tree(page) if n.tag == "#")
+
+
+def test_skipped_elements_end_where_they_end():
+    assert said("<article><svg class=icon/><p>one</p><p>two</p></article><svg><text>x</text></svg>") == "one|two"
+    assert said('<article><svg class="icon" /><p>one</p></article><svg><text>x</text></svg>') == "one"
+    assert said("<article><div><button>ok</div><p>one</p></article><button>x</button>") == "ok|one"
+    assert said("<article><p>one<button>ok<p>two</article><p>three<button>x</button>") == "oneok|two|three"
+    assert said("<datalist><option>a<option>b</datalist><p>one</p><option>c</option>") == "ab|one"
+    assert said("<div><button><div>x</div><p>y</button>one</div>") == "one"
+
+
 LONG = "The committee met on Tuesday, and after a long debate, it agreed on the plan. " * 3
 
 
