@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .samples import labelled, remainder
 from .shared import slices, table
+from .shingles import runs_hashed
 
 PASSAGE = 512
 HIDDEN, GATE = 32, 16
@@ -67,12 +68,12 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         length = np.maximum(1, np.bincount(passage, minlength=n))[:, None]
         counts = np.bincount(passage * (KINDS * KINDS) + pairs, minlength=n * KINDS * KINDS).reshape(n, -1)
         out[:, :-3] = np.sqrt(counts / length)
-        # words seen before in the same document, by a hash of their first bytes
-        begins = np.flatnonzero((kind != 3) & (kind != 4) & np.append(True, (kind[:-1] == 3) | (kind[:-1] == 4) | (doc[1:] != doc[:-1])))
-        key = np.zeros(len(begins), np.uint64)
-        stop = (starts + sizes)[doc[begins]]
-        for k in range(16):
-            key = key * np.uint64(0x9E3779B97F4A7C15) + np.where(begins + k < stop, data[np.minimum(begins + k, len(data) - 1)], 0).astype(np.uint64)
+        # words seen before in the same document, by a hash of the whole word
+        inside = (kind != 3) & (kind != 4)
+        new = np.append(True, doc[1:] != doc[:-1])
+        begins = np.flatnonzero(inside & (new | ~np.append(False, inside[:-1])))
+        stops = np.flatnonzero(inside & np.append(~inside[1:] | new[1:], True)) + 1
+        key = runs_hashed(data, begins, stops)
         key ^= doc[begins].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         fresh = np.zeros(len(begins), bool)
         fresh[np.unique(key, return_index=True)[1]] = True

@@ -30,6 +30,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def runs_hashed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each run, from prefix sums."""
+    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
+    return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+
+
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs without white space, A to Z lowered), and where each text's words begin (and, last, end)."""
     data = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
@@ -38,9 +45,7 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_SPACE[data]
     edge = np.diff(inside.astype(np.int8), prepend=0)
     begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a blank stands last
-    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
-    hashes = mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+    hashes = runs_hashed(data, begins, ends)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     return hashes, np.searchsorted(begins, np.concatenate([[0], np.cumsum(sizes)]))
 

@@ -42,6 +42,14 @@ def test_awkward_rows(spark, module, label, modulus, held):
     assert {r["score"] for r in rows(module.report(docs, labels.limit(0)))} <= {0.5}
 
 
+def test_repeated_words_are_told_by_all_their_bytes():
+    base = "https://example.com/a/long/address/"
+    repeats = lambda t: quality.describe([b"a b", t.encode(), b"", b"b"])[0][1, -3]
+    assert repeats(f"{base}1 {base}2 {base}3\n{base}4") == 0
+    assert repeats(f"{base}1 {base}2 {base}1\n{base}1") == 0.5
+    assert repeats("\u4e00\u4e8c\u4e09\u56db\u4e94\u516d a\n\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03 b") == 0
+
+
 def test_quality_on_held_out_rows(spark):
     got = quality.query(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert auc(got.score.values, got.quality.values) > 0.97
