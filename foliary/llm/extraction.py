@@ -211,7 +211,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         row[k:] = (
             *inherited[-3:], n.depth, math.log1p(n.chars), n.links / chars, 100 * n.tags / chars, 100 * n.stops / chars, n.chars / (total or 1), n.start / (total or 1),
             n.index / len(sisters), len(sisters), math.log1p(n.parent.chars / len(sisters)) if n.parent else 0, n.chars / (n.parent.chars or 1) if n.parent else 1,
-            len(n.kids), n.controls, n.heads, sum(s.tag == "p" for s in n.kids[:200]),
+            len(n.kids), n.controls, n.heads, sum(s.tag == "p" for s in n.kids),
         )
     return out
 

@@ -50,6 +50,11 @@ def test_skipped_elements_end_where_they_end():
     assert said("<div><button><div>x</div><p>y</button>one</div>") == "one"
 
 
+def test_all_paragraphs_of_a_container_count():
+    nodes = extraction.tree("<div>" + "<h2>x</h2>" * 250 + "<p>y</p>" * 30 + "</div>")
+    assert extraction.features(nodes)[1][-1] == 30
+
+
 LONG = "The committee met on Tuesday, and after a long debate, it agreed on the plan. " * 3
 
 
