@@ -133,7 +133,7 @@ def task_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = adapters.manifest(spark, sf_dir).where("bytes > 0").withColumn("url", F.concat(F.lit("https://h/"), F.col("name")))
+    files = adapters.manifest(spark, sf_dir).withColumn("url", F.concat(F.lit("https://h/"), F.col("name")))
     ranked = files.withColumn("at", F.row_number().over(W.partitionBy("source").orderBy("doc_id"))).join(files.groupBy("source").agg(F.count("*").alias("total")), "source")
     return ranked.select("source", "doc_id", outputs.sink_kind(F.col("total"), F.lit("out")).alias("sink"), outputs.numbered(F.col("at"), F.col("total"), F.col("url")).alias("file"))
 
