@@ -1,55 +1,71 @@
-"""N-gram Jaccard join of all documents with pivots, exactly and recursively.
-
-Jaccard distance is a metric, but documents that have no near copy stand at
-distance near 1 from every pivot, so that regions around pivots drawn from the
-whole corpus separate nothing. Pivots are therefore drawn inside fine regions
-in which a near copy must lie:
-
-1. Equal sets of shingles are one point (their documents are one component).
-2. Each set is split by hash into more parts than a linked pair can have
-   differing elements (sets are compared only within a window of sizes, which
-   bounds that number). A linked pair agrees in some part, so the documents that
-   agree in a part form a region, and every link lies inside a region.
-3. In each region the smallest document is the pivot. Members that are not yet
-   in its component are measured against it, in its window of sizes; members
-   within the distance of a link are joined with it.
-4. A region whose members are all in one component is done. The others lose
-   their pivot and are joined again: two members can only be linked if their
-   distances to an earlier pivot differ by no more than the distance of a link
-   (triangle inequality). At the first levels each member is tried against a few
-   pivots, later ones of the largest component of a region; then a region has up
-   to ``PIVOTS`` pivots a level, taken from its smaller components, that meet all
-   its members. This goes on until no region is left, so no link is lost; every document of a large group of copies is measured against few
-   pivots rather than against all others.
+"""N-gram Jaccard join of all documents: pivots, Voronoi cells, windows, recursion; the result is exact.
+
+Jaccard distance is a metric, but documents without a near copy stand at
+distance 1 from every pivot, so pivots drawn from the whole corpus separate
+nothing. The cells of the first level are therefore found by keys that every
+linked pair shares, and Voronoi cells divide those further:
+
+1. Equal sets of shingles are one point.
+2. A point that is linked with any other shares a known number of the smallest
+   hashes of its set with it (prefixes of sorted sets). Points with fewer hashes
+   that anybody else holds are done. This leaves a tenth to a fifth of a usual
+   corpus.
+3. The sets of the others are split by hash into more parts than a linked pair
+   can have differing elements, so a linked pair agrees in a part. The pivot of
+   a part is the member of least hash, and the cell of a pivot are all members
+   of its parts; a point stands in the cells of all its pivots.
+4. Inside cells points are compared as folded sets (counts of elements in hash
+   bins). Their Jaccard distance (sum of minima over sum of maxima) is a metric
+   as well and never above that of the sets. A cell with more than ``CELL``
+   points is divided by up to ``PIVOTS`` pivots: every point goes to its nearest
+   pivot and, if its distance to another pivot is within twice the distance of a
+   link of that, to that cell also (triangle inequality), so each linked pair
+   meets where one of them is at home. Cells are divided again until they are
+   small. Where distances are too even for that to help, pairs of blocks are
+   compared.
+5. Chains of points whose folded sets are near enough are groups. Groups are
+   solved on the sets themselves, in one block; of larger groups, all members
+   first meet a few pivots, and then only those outside the largest component
+   meet the others, in pairs of blocks.
+
+No list of pairs is ever made: each task returns a spanning forest of its links.
 
 The operator returns classes: one row per document with its component. Null or
 blank texts have an empty set and link with nothing. A doc_id may stand on several
 texts: each of their sets is a point of its own. In component ids, sets of equal
 smallest doc_id are one node, as in the SQL; survivors() goes by the sets alone.
-A row with a null doc_id links with nothing and has a null component.
+A row with a null doc_id links with nothing and has a null component. Repeated
+rows are copies of each other. An empty table gives no rows. Columns other than
+doc_id and text are ignored by classes() and kept by survivors(), whatever their
+names (but ``_text_key``).
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import drop_written, slices, table, written
+from .shared import drop_written, runs, slices, table, written
 from .shingles import mix, sets
 
 BATCH = 1 << 21
 #: Parts beyond those that a pair needs to agree in one; so many empty parts give no key.
 SPARE = 2
-#: Levels at which members are tried against a few pivots; pivots of a region at each level after them.
-TRIES, PIVOTS = 2, 16
+#: Per cent of a set that its prefix has beyond the shortest one that shows a link.
+EXTRA = 5
+#: Entries (key, id) that a task holds before it deals them out.
+DEALT = 1 << 21
+#: Points of a cell that are compared at once, pivots that divide a larger one, points and elements of a block.
+CELL, PIVOTS, BLOCK, ELEMENTS = 256, 16, 1024, 1 << 22
+#: Rows that meet the pivots of one cell in a task.
+MET = 4096
 
 
 @functools.lru_cache(maxsize=None)
@@ -98,197 +114,501 @@ def part_keys(many: list[np.ndarray], percent: int) -> list[np.ndarray]:
     return [np.concatenate(k) if k else np.zeros(0, np.uint64) for k in out]
 
 
+def prefix(one: np.ndarray, percent: int) -> np.ndarray:
+    """The smallest hashes of a set. A linked pair of sets has :func:`least_shared` of them in common in both prefixes.
+
+    Of the common elements of a pair, in order, the k-th is preceded in a set of n by at most n - need others that are not common.
+    """
+    need = -(-percent * len(one) // 100)
+    return one[: len(one) - need - (-EXTRA * len(one) // 100)]
+
+
+def least_shared(n: Column, percent: int) -> Column:
+    """How many hashes of its prefix a set of n shares with any set linked to it, that is with one of percent % of n at least."""
+    need = F.floor((n * percent + 99) / 100)
+    return F.floor((need * EXTRA + 99) / 100)
+
+
+def folded(one: np.ndarray) -> np.ndarray:
+    """Counts of the elements by their leading bits; twice as many elements have one bit more at most."""
+    bits = max(1, len(one) - 1).bit_length()
+    bits = max(5, min(bits - 2, 8), bits - 3)
+    counts = np.bincount((one >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    if counts.max(initial=0) > 65535:
+        raise ValueError("hashes of shingles are not spread")
+    return counts.astype(np.uint16)
+
+
+def _fewer(rows: np.ndarray) -> np.ndarray:
+    return rows[:, ::2] + rows[:, 1::2]
+
+
+def _minima(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of minima of each row of a with each of b, in slices of bounded size."""
+    out = np.empty((len(a), len(b)), np.int64)
+    if max(a.max(initial=0), b.max(initial=0)) < 256:
+        a, b = a.astype(np.uint8), b.astype(np.uint8)
+    step = max(1, (1 << 22) // max(1, b.size))
+    for i in range(0, len(a), step):
+        out[i : i + step] = np.minimum(a[i : i + step, None, :], b[None, :, :]).sum(2, dtype=np.uint32)
+    return out
+
+
+class Forest:
+    """Links between places of a list, without those that close a circle."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+        self.links: list[tuple[int, int]] = []
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def link(self, a: int, b: int) -> None:
+        ra, rb = self.root(a), self.root(b)
+        if ra != rb:
+            self.up[ra] = rb
+            self.links.append((a, b))
+
+
+def near_folded(sizes: np.ndarray, data: list[bytes], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose folded sets are near enough for a link; only pairs of two sides if there are two."""
+    forest, two = Forest(len(sizes)), side.any()
+    bits = np.array([len(d) // 2 for d in data])
+    for width in np.unique(bits):
+        low, high = np.flatnonzero(bits == width), np.flatnonzero(bits == 2 * width)
+        rows = np.frombuffer(b"".join(data[i] for i in low), np.uint16).reshape(len(low), width)
+        if len(high):
+            more = np.frombuffer(b"".join(data[i] for i in high), np.uint16).reshape(len(high), 2 * width)
+            rows = np.concatenate([rows, _fewer(more)])
+        who = np.concatenate([low, high])
+        order = np.argsort(sizes[who], kind="stable")
+        who, rows = who[order], rows[order]
+        n = sizes[who]
+        for a in range(0, len(who), 32):
+            b = min(a + 32, len(who))
+            end = int(np.searchsorted(n, 100 * n[b - 1] // percent, side="right"))
+            common = _minima(rows[a:b], rows[a:end])
+            union = n[a:b, None] + n[None, a:end] - common
+            ok = (100 * common >= percent * union) & (np.arange(a, end)[None, :] > np.arange(a, b)[:, None])
+            if two:
+                ok &= side[who[a:b], None] != side[None, who[a:end]]
+            for i, j in zip(*np.nonzero(ok), strict=True):
+                forest.link(int(who[a + i]), int(who[a + j]))
+    return forest.links
+
+
+def linked_sets(sizes: np.ndarray, data: list[bytes], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the linked pairs of sets; only pairs of two sides if there are two."""
+    forest, two = Forest(len(sizes)), side.any()
+    flat = np.frombuffer(b"".join(data), np.uint64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(flat, kind="stable")
+    new = np.diff(flat[order], prepend=flat[order][:1]) != 0
+    word = np.empty(len(flat), np.int64)
+    word[order] = np.cumsum(new)
+    holders, first = owner[order], np.concatenate([np.flatnonzero(np.concatenate([[True], new[1:]])), [len(flat)]])
+    often = np.diff(first)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    for i in range(len(sizes)):
+        if two and side[i]:
+            continue
+        mine = word[ends[i] : ends[i + 1]]
+        mine = mine[often[mine] > 1]
+        if not len(mine):
+            continue
+        count = often[mine]
+        places = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        common = np.bincount(holders[places], minlength=len(sizes))
+        ok = (common > 0) & (100 * common >= percent * (sizes[i] + sizes - common))
+        ok[: i + 1] &= two
+        if two:
+            ok &= side != side[i]
+        for j in np.flatnonzero(ok):
+            forest.link(i, int(j))
+    return forest.links
+
+
 def _text_key() -> Column:
     """Tells the texts of one doc_id apart."""
     return F.xxhash64("text")
 
 
-def shingle_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_key (digest of the set; null if empty) and part keys of every document."""
+def _digest(one: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None
+
+
+def _known(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, set_key (digest of the set; null if empty) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH):
             found = sets([(t or "").encode() for t in batch.column("text").to_pylist()], width)
-            digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found]
-            keys = part_keys(found, percent)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array([len(s) for s in found], pa.int64()), pa.array(digest, pa.binary()), pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))],
-                ["doc_id", "text_key", "n_shingles", "set_key", "keys"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array([len(s) for s in found], pa.int64()), pa.array([_digest(s) for s in found], pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "set_key"],
             )
 
-    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, keys array<long>")
+    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary")
+
+
+def _tag(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "big", signed=True)
 
 
-def _only_sets(docs: DataFrame, width: int) -> DataFrame:
+def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """id (the leading bytes of the set's digest) and prefix of every set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH):
-            found = sets([(t or "").encode() for t in batch.column("text").to_pylist()], width)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "items"])
+            found = [s for s in sets([(t or "").encode() for t in batch.column("text").to_pylist()], width) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([_tag(_digest(s)) for s in found], pa.int64()), pa.array([prefix(s, percent).tobytes() for s in found], pa.binary())], ["id", "keys"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, items binary")
+    return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "id long, keys binary")
 
 
-def _measured(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """x, pivot, their distance, and whether they are linked."""
+def _dealt(keys: np.ndarray, ids: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of bucket, whether they are sure, packed keys and ids.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Of a key with more than two ids here, two go to its bucket; the others are known to share it and
+    are spread evenly, so that no bucket has to hold all ids of a frequent key.
+    """
+    bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((ids, keys, bucket))
+    keys, ids, bucket = keys[order], ids[order], bucket[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    keys, ids, bucket = keys[new], ids[new], bucket[new]
+    third = np.zeros(len(keys), bool)
+    third[2:] = keys[2:] == keys[:-2]
+    for sure in (False, True):
+        at = np.flatnonzero(third == sure)
+        if not len(at):
+            continue
+        cuts = np.flatnonzero(np.diff(bucket[at])) + 1 if not sure else np.arange(1 << 15, len(at), 1 << 15)
+        pieces = np.split(at, cuts)
+        where = [int(bucket[p[0]]) if not sure else int(mix(ids[p[:1]].view(np.uint64))[0] % np.uint64(buckets)) for p in pieces]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(where, pa.int32()),
+                pa.array([sure] * len(pieces), pa.bool_()),
+                # six bytes tell keys apart well enough: a chance agreement only adds a candidate
+                pa.array([keys[p].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for p in pieces], pa.binary()),
+                pa.array([ids[p].tobytes() for p in pieces], pa.binary()),
+            ],
+            ["bucket", "sure", "keys", "ids"],
+        )
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.view(np.int64).ravel()
+
+
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """key, id of the entries whose key is held by two different ids at least; ``keyed`` has id and packed keys.
+
+    The entries are dealt to buckets of keys in packed form, 14 bytes each. Rows may repeat.
+    """
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * parts
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[bytes] = []
+        ids: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            distance, linked = [], []
-            for left, right in zip(batch.column("items").to_pylist(), batch.column("others").to_pylist(), strict=True):
-                a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                union = len(a) + len(b) - common
-                distance.append(1 - common / union if union else 1.0)
-                linked.append(bool(union) and 100 * common >= percent * union)
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("pivot"), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], ["x", "pivot", "distance", "linked"])
+            for i, k in zip(batch.column("id").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+                keys.append(k)
+                ids.append(np.full(len(k) // 8, i, np.int64))
+                held += len(k) // 8
+                if held >= DEALT:
+                    yield from _dealt(np.frombuffer(b"".join(keys), np.uint64), np.concatenate(ids), buckets)
+                    keys, ids, held = [], [], 0
+        if held:
+            yield from _dealt(np.frombuffer(b"".join(keys), np.uint64), np.concatenate(ids), buckets)
+
+    def of(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())], ["key", "id"])
+
+    def found(packed: list[bytes], held: list[bytes]) -> pa.RecordBatch:
+        keys, ids = _unpacked(packed), np.frombuffer(b"".join(held), np.int64)
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+        keys, ids = keys[new], ids[new]
+        same = keys[1:] == keys[:-1]
+        often = np.zeros(len(keys), bool)
+        often[1:] |= same
+        often[:-1] |= same
+        return of(keys[often], ids[often])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed: list[bytes] = []
+        held: list[bytes] = []
+        now = None
+        for batch in batches:
+            for bucket, sure, k, i in zip(*(batch.column(c).to_pylist() for c in ("bucket", "sure", "keys", "ids")), strict=True):
+                if sure:
+                    yield of(_unpacked([k]), np.frombuffer(i, np.int64))
+                    continue
+                if bucket != now and packed:
+                    yield found(packed, held)
+                    packed, held = [], []
+                now = bucket
+                packed.append(k)
+                held.append(i)
+        if packed:
+            yield found(packed, held)
+
+    rows = keyed.mapInArrow(deal, "bucket int, sure boolean, keys binary, ids binary")
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(find, "key long, id long")
+
+
+def _sets_of(docs: DataFrame, width: int) -> DataFrame:
+    """id, n and items (the packed set) of rows of id and text."""
 
-    with_x = pairs.join(items.withColumnRenamed("id", "x"), "x")
-    both = with_x.join(items.select(F.col("id").alias("pivot"), F.col("items").alias("others")), "pivot")
-    return both.select("x", "pivot", "items", "others").mapInArrow(run, "x long, pivot long, distance double, linked boolean")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH):
+            found = sets([(t or "").encode() for t in batch.column("text").to_pylist()], width)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "n", "items"])
 
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, items binary")
 
-def _points(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What is known of every row (doc_id, text_key, n_shingles, set_key), the points, and the points' components.
 
-    A point (set_key, id) is one set; x and text_key name the first row that has it.
-    """
-    sets_ = written(shingle_sets(docs, width, percent), "sets")
-    named = sets_.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    # ids are fixed by writing them; doc_id is none, as it may stand on several sets
-    points = written(named.select("set_key", F.col("first.doc_id").alias("x"), F.col("first.text_key").alias("text_key"), F.monotonically_increasing_id().alias("id")), "points")
-    first = points.select(F.col("x").alias("doc_id"), "text_key", "id")
-    keyed = sets_.where("set_key IS NOT NULL").join(first, ["doc_id", "text_key"])
-    members = keyed.select(F.col("id").alias("x"), F.col("n_shingles").alias("n"), F.explode("keys").alias("region"))
-    shared = members.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").select("region")
-    regions = written(members.join(shared, "region").distinct().withColumn("near", F.lit(None).cast("double")), "regions")
-    needed = first.join(regions.select(F.col("x").alias("id")).distinct(), "id", "left_semi")
-    texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(needed, ["doc_id", "text_key"])
-    items = written(_only_sets(texts, width).dropDuplicates(["id"]), "items")
-    component = written(docs.sparkSession.createDataFrame([], "id long, component long"), "component")
-    level = 0
-    while not regions.isEmpty():
-        named = _named(regions, component) if not level else written(_named(regions, component), "named")
-        final = level > TRIES
-        chosen = written(_pivots(named), "pivots") if final else None
-        pairs = _pairs(named, chosen, percent) if final else _tries(named, percent, level)
-        tested = written(_measured(pairs, items, percent), "measured")
-        found = components(_renamed(_renamed(tested.where("linked").select("x", "pivot"), component, "x"), component, "pivot").select(F.col("x").alias("a"), F.col("pivot").alias("b")))
-        before = [tested, component, regions, *([named] if level else []), *([chosen] if final else [])]
-        component = written(_extended(component, found), "component")
-        # pivots of the final levels have met all members of their regions that they can be linked with
-        regions = written(_unfinished(_remaining(regions, chosen, tested) if final else regions, component), "regions")
-        level += 1
-        for done in before:  # what later levels do not read
-            drop_written(done)
-    return sets_.select("doc_id", "text_key", "n_shingles", "set_key"), points, component
+def _derived(items: DataFrame, make: Callable[[list[np.ndarray]], list[np.ndarray]], name: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "items", BATCH):
+            made = make([np.frombuffer(s, np.uint64) for s in batch.column("items").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array([m.tobytes() for m in made], pa.binary())], ["id", "n", name])
 
+    return items.mapInArrow(run, f"id long, n long, {name} binary")
 
-def _with_component(points: DataFrame, component: DataFrame) -> DataFrame:
-    return points.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
+Solve = Callable[[np.ndarray, list[bytes], np.ndarray, int], list[tuple[int, int]]]
 
-def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents linked at ``percent`` % similarity of their sets of ``width`` words."""
-    known, points, component = _points(docs, width, percent)
-    # sets of equal smallest doc_id are one node
-    ends = _with_component(points, component).groupBy("x").agg(F.min("component").alias("a"), F.array_distinct(F.collect_list("component")).alias("all"))
-    component = _extended(component, components(ends.where(F.size("all") > 1).select("a", F.explode("all").alias("b"))))
-    placed = _with_component(points, component)
-    smallest = placed.groupBy("component").agg(F.min("x").alias("component_id"))
-    to = placed.join(smallest, "component").select("set_key", "component_id")
-    found = known.join(to, "set_key", "left")
-    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
+def _solved(rows: DataFrame, data: DataFrame, solve: Solve, percent: int) -> DataFrame:
+    """a, b: links inside each group; rows have group, id and side, data id, n and data."""
 
-def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
-    return regions.join(component.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("group", "id", "side", "n", "data")), strict=True):
+                if held and row[0] != held[-1][0]:
+                    yield done(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield done(held)
 
+    def done(held: list[tuple]) -> pa.RecordBatch:
+        _, ids, side, n, packed = zip(*held, strict=True)
+        found = solve(np.array(n, np.int64), list(packed), np.array(side, np.int64), percent)
+        return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
 
-def _named(regions: DataFrame, component: DataFrame) -> DataFrame:
-    return regions.join(component.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    both = rows.select("group", "id", "side").join(data, "id").select("group", "id", "side", "n", "data")
+    return both.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long")
 
 
-def _renamed(links: DataFrame, component: DataFrame, end: str) -> DataFrame:
-    """The links with the component of that end instead of the document."""
-    to = component.select(F.col("id").alias(end), F.col("component").alias("_to"))
-    return links.join(to, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Every pair of blocks of each cell as a group of two sides; a block with itself as one of one side."""
+    own = F.pmod(F.xxhash64("id", F.lit(7)), blocks)
+    dealt = rows.select("cell", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    return dealt.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("group"), "id", (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
-def _extended(component: DataFrame, found: DataFrame) -> DataFrame:
-    """Components of documents, after ``found`` has joined some components."""
-    onward = found.select(F.col("id").alias("component"), F.col("component").alias("_to"))
-    known = component.join(onward, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
-    return known.unionByName(found.join(component, "id", "left_anti"))
+def _pivots(rows: DataFrame, level: int) -> DataFrame:
+    """Up to ``PIVOTS`` members of each cell, by hash: one of each part that has any."""
+    part = F.pmod(F.xxhash64("id", F.lit(-level)), F.lit(PIVOTS))
+    return rows.groupBy("cell", part.alias("part")).agg(F.min(F.struct(F.xxhash64("id", F.lit(level)), "id"))["id"].alias("id"), F.first("m").alias("m")).drop("part")
 
 
-def _pivots(named: DataFrame) -> DataFrame:
-    """Per region up to ``PIVOTS`` members outside its largest component, those of the smallest components first.
+def _met(rows: DataFrame, pivots: DataFrame, data: DataFrame, judge: Callable, schema: str) -> DataFrame:
+    """What ``judge`` makes of the members of each cell (size m) and its pivots, which come to every share of a large cell."""
+    shares = F.ceil(F.col("m") / MET).cast("int")
+    members = rows.select("cell", F.pmod(F.xxhash64("id"), shares).cast("int").alias("share"), F.lit(1).alias("kind"), "id")
+    first = pivots.select("cell", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"), F.lit(0).alias("kind"), "id")
 
-    Any two members in different components include one outside the largest, so a region with
-    no more than that many such members is solved at this level. Ranks are taken in parts of a
-    region first, so that no region has to fit one task.
-    """
-    counts, largest = _largest(named)
-    minor = named.join(counts, ["region", "component"]).join(largest, "region").where("component <> largest").withColumn("part", F.pmod(F.xxhash64("x"), F.lit(64)))
-    for keys in (("region", "part"), ("region",)):
-        minor = minor.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy("size", "x"))).where(F.col("rank") <= PIVOTS)
-    return minor.select("region", F.struct("x", "n", "component", "near").alias("p"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for (cell, share, kind), part in runs(batches, "cell", "share", "kind"):
+            one = list(zip(*(part.column(c).to_pylist() for c in ("id", "n", "data")), strict=True))
+            if kind:
+                yield judge(cell, held, one)
+            else:
+                held = [*(held if now == (cell, share) else []), *one]
+                now = (cell, share)
+
+    both = members.unionByName(first).join(data, "id").select("cell", "share", "kind", "id", "n", "data")
+    return both.repartition("cell", "share").sortWithinPartitions("cell", "share", "kind", "id").mapInArrow(run, schema)
+
+
+def _folded_distances(members: list[tuple], pivots: list[tuple]) -> np.ndarray:
+    """Jaccard distances of folded sets, each pair at the smaller width of the two."""
+    out = np.empty((len(members), len(pivots)))
+    wide = np.array([len(d) // 2 for _, _, d in members])
+    n = np.array([x for _, x, _ in members], np.int64)
+    for j, (_, size, packed) in enumerate(pivots):
+        pivot = np.frombuffer(packed, np.uint16)[None, :]
+        for width in np.unique(wide):
+            at = np.flatnonzero(wide == width)
+            rows, other = np.frombuffer(b"".join(members[i][2] for i in at), np.uint16).reshape(len(at), width), pivot
+            while rows.shape[1] > other.shape[1]:
+                rows = _fewer(rows)
+            while other.shape[1] > rows.shape[1]:
+                other = _fewer(other)
+            common = _minima(rows, other)[:, 0]
+            out[at, j] = 1 - common / (n[at] + size - common)
+    return out
+
+
+def voronoi(percent: int) -> Callable:
+    """The cells of a cell's members: that of the nearest pivot, and all others in the window of a link."""
+
+    def judge(cell: int, pivots: list[tuple], members: list[tuple]) -> pa.RecordBatch:
+        distance = _folded_distances(members, pivots)
+        window = distance <= distance.min(1, keepdims=True) + 2 * (100 - percent) / 100 + 1e-9
+        at, to = np.nonzero(window)
+        ids, names = np.array([m[0] for m in members], np.int64), np.array([p[0] for p in pivots], np.int64)
+        cells = mix(np.full(len(to), cell, np.int64).view(np.uint64) * np.uint64(3) + mix(names[to].view(np.uint64))).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(to), cell, np.int64)), pa.array(cells), pa.array(ids[at])], ["parent", "cell", "id"])
+
+    return judge
+
+
+def star(percent: int) -> Callable:
+    """Links of a cell's members with its pivots."""
+
+    def judge(cell: int, pivots: list[tuple], members: list[tuple]) -> pa.RecordBatch:
+        a, b = [], []
+        for x, n, packed in members:
+            mine = np.frombuffer(packed, np.uint64)
+            for y, size, other in pivots:
+                common = int(np.isin(mine, np.frombuffer(other, np.uint64), assume_unique=True).sum()) if x != y and 100 * min(n, size) >= percent * max(n, size) else 0
+                if common and 100 * common >= percent * (n + size - common):
+                    a.append(x)
+                    b.append(y)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return judge
+
+
+def _candidates(cells: DataFrame, folds: DataFrame, percent: int) -> list[DataFrame]:
+    """a, b: chains of points in a common cell (cell, id) whose folded sets are near enough for a link."""
+    found: list[DataFrame] = []
+    todo, level = cells, 0
+    whole = [F.col("cell").alias("group"), "id", F.lit(0).alias("side")]
+    while True:
+        level += 1
+        sized = written(todo.join(todo.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "cell"), "sized")
+        found.append(written(_solved(sized.where(F.col("m") <= CELL).select(*whole), folds, near_folded, percent), "candidates"))
+        large = sized.where(F.col("m") > CELL)
+        if large.isEmpty():
+            drop_written(sized)
+            return found
+        parted = written(_met(large, _pivots(large, level), folds, voronoi(percent), "parent long, cell long, id long"), "parted")
+        work = parted.groupBy("parent", "cell").agg(F.count("*").alias("c")).groupBy("parent").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("work"))
+        # a division that does not halve the pairs, or copies its rows too often, is no use
+        helped = work.join(large.groupBy(F.col("cell").alias("parent")).agg(F.first("m").alias("m")), "parent").where("2 * work <= m * m AND rows <= 4 * m").select("parent")
+        helped = written(helped, "helped")
+        even = large.join(helped.select(F.col("parent").alias("cell")), "cell", "left_anti")
+        found.append(written(_solved(_in_blocks(even, F.ceil(F.col("m") / BLOCK).cast("int")), folds, near_folded, percent), "candidates"))
+        todo = written(parted.join(helped, "parent", "left_semi").select("cell", "id"), "cells")
+        for done in (sized, parted, helped):
+            drop_written(done)
 
 
-def _largest(named: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sizes of the components in each region, and the largest of each region."""
-    counts = named.groupBy("region", "component").agg(F.count("*").alias("size"))
-    return counts, counts.groupBy("region").agg(F.max(F.struct("size", "component"))["component"].alias("largest"))
+def _links(groups: DataFrame, items: DataFrame, percent: int) -> list[DataFrame]:
+    """a, b: links that join the linked points of each group (cell, id)."""
+    data = items.withColumnRenamed("items", "data")
+    sizes = groups.join(items.select("id", "n"), "id").groupBy("cell").agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
+    fits = (F.col("m") <= BLOCK) & (F.col("elements") <= ELEMENTS)
+    sized = written(groups.join(sizes.withColumn("fits", fits), "cell"), "sized")
+    found = [written(_solved(sized.where("fits").select(F.col("cell").alias("group"), "id", F.lit(0).alias("side")), data, linked_sets, percent), "links")]
+    large = sized.where("NOT fits")
+    if large.isEmpty():
+        return found
+    near = written(_met(large, _pivots(large, 0), data, star(percent), "a long, b long"), "links")
+    label = components(near).withColumnRenamed("component", "label")
+    named = large.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    most = named.groupBy("cell", "label").agg(F.count("*").alias("c")).groupBy("cell").agg(F.max(F.struct("c", "label")).alias("top"))
+    named = written(named.join(most, "cell").withColumn("main", F.col("label") == F.col("top.label")).withColumn("rest", F.col("m") - F.col("top.c")).drop("top"), "named")
+    # blocks are small enough if the elements are spread evenly; hashing deals them so
+    scale = F.greatest(F.ceil(F.col("elements") / ELEMENTS), F.ceil(F.col("m") / BLOCK)) / F.col("m")
+    named = named.withColumn("mains", F.ceil((F.col("m") - F.col("rest")) * scale).cast("int")).withColumn("rests", F.ceil(F.col("rest") * scale).cast("int"))
+    others = named.where("NOT main")
+    main_block, rest_block = F.pmod(F.xxhash64("id", F.lit(7)), F.col("mains")), F.pmod(F.xxhash64("id", F.lit(7)), F.col("rests"))
+    group = F.xxhash64("cell", F.lit("main"), "rest_block", "main_block").alias("group")
+    from_rest = others.select("cell", "id", rest_block.alias("rest_block"), F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("main_block")).select(group, "id", F.lit(0).alias("side"))
+    from_main = named.where("main AND rests > 0").select("cell", "id", main_block.alias("main_block"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest_block")).select(group, "id", F.lit(1).alias("side"))
+    blocks = _in_blocks(others, F.col("rests")).unionByName(from_rest).unionByName(from_main)
+    return [*found, near, written(_solved(blocks, data, linked_sets, percent), "links")]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
-def _in_windows(percent: int) -> Column:
-    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
-    near = F.col("near").isNull() | F.col("p.near").isNull() | (F.abs(F.col("near") - F.col("p.near")) <= (100 - percent) / 100 + 1e-9)
-    return sizes & near
+def _points(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is known of every row (doc_id, text_key, n_shingles, set_key), the points, and the points' components.
 
+    A point (set_key, id) is one set; x and text_key name the first row that has it.
+    """
+    known = written(_known(docs, width), "sets")
+    named = known.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n_shingles").alias("n"))
+    # ids are fixed by writing them; doc_id is none, as it may stand on several sets
+    points = written(named.select("set_key", "n", F.col("first.doc_id").alias("x"), F.col("first.text_key").alias("text_key"), F.monotonically_increasing_id().alias("id")), "points")
+    tags = written(shared_keys(_prefixes(docs, width, percent)).groupBy("id").agg(F.count("*").alias("m")), "tags")
+    tag = F.conv(F.hex(F.substring("set_key", 1, 8)), 16, -10).cast("long")
+    wanted = points.withColumn("tag", tag).join(tags.withColumnRenamed("id", "tag"), "tag").where(F.col("m") >= least_shared(F.col("n"), percent))
+    wanted = wanted.select(F.col("x").alias("doc_id"), "text_key", "id")
+    texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(wanted, ["doc_id", "text_key"])
+    items = written(_sets_of(texts, width).dropDuplicates(["id"]), "items")
+    regions = written(shared_keys(_derived(items, lambda many: part_keys(many, percent), "keys")), "regions")
+    pivots = regions.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("cell"))
+    cells = written(regions.join(pivots, "key").select("cell", "id").distinct(), "cells")
+    folds = written(_derived(items, lambda many: [folded(m) for m in many], "data"), "folded")
+    near = _candidates(cells, folds, percent)
+    groups = written(components(_union(near)).withColumnRenamed("component", "cell"), "groups")
+    # components() names no id that is its own component
+    groups = groups.unionByName(groups.select(F.col("cell").alias("id"), "cell").distinct()).distinct()
+    links = _links(groups, items, percent)
+    component = written(components(_union(links)), "component")
+    for done in (tags, items, regions, cells, folds, *near, *links):
+        drop_written(done)
+    return known, points, component
 
-def _tries(named: DataFrame, percent: int, level: int) -> DataFrame:
-    """A few pairs for each member: with the smallest pivot of its regions at first, then with other members of the largest components.
 
-    Most members of a group of copies come into one component by this, at a number of pairs in proportion to the members.
-    """
-    point = F.struct("x", "n", "component", "near")
-    if not level:
-        pivots = named.groupBy("region").agg(F.min(point).alias("p"))
-    else:
-        largest = _largest(named)[1]
-        drawn = F.struct(F.xxhash64("x", F.lit(level)).alias("draw"), point.alias("p"))
-        pivots = named.join(largest, "region").where("component = largest").groupBy("region").agg(F.min(drawn)["p"].alias("p"))
-    met = named.join(pivots, "region").where("x <> p.x AND component <> p.component").where(_in_windows(percent))
-    if not level:
-        return met.groupBy("x").agg(F.min("p.x").alias("pivot"))
-    # of its pivots each member takes one in each of four parts
-    part = F.pmod(F.xxhash64("p.x", F.lit(level)), F.lit(4))
-    drawn = met.groupBy("x", part.alias("part")).agg(F.min_by("p.x", F.xxhash64("p.x", "x")).alias("pivot"))
-    return drawn.select(F.greatest("x", "pivot").alias("x"), F.least("x", "pivot").alias("pivot")).distinct()
-
-
-def _pairs(named: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a member and a pivot that are in different components and in each other's windows."""
-    met = named.join(chosen, "region").where("x <> p.x AND component <> p.component").where(_in_windows(percent))
-    return met.select(F.greatest("x", "p.x").alias("x"), F.least("x", "p.x").alias("pivot")).distinct()
-
-
-def _remaining(regions: DataFrame, chosen: DataFrame, tested: DataFrame) -> DataFrame:
-    """The regions without their pivots, each member with its distance to the first pivot if that was measured."""
-    gone = chosen.select("region", F.col("p.x").alias("x"))
-    first = chosen.groupBy("region").agg(F.min("p.x").alias("pivot"))
-    left = regions.join(gone, ["region", "x"], "left_anti").join(first, "region", "left")
-    measured = tested.select("x", "pivot", F.col("distance").alias("_near"))
-    measured = measured.unionByName(measured.select(F.col("pivot").alias("x"), F.col("x").alias("pivot"), "_near"))
-    return left.join(measured, ["x", "pivot"], "left").select("x", "n", "region", F.col("_near").alias("near"))
-
-
-def _unfinished(regions: DataFrame, component: DataFrame) -> DataFrame:
-    named = _named(regions, component)
-    open_ = named.groupBy("region").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("region")
-    return regions.join(open_, "region", "left_semi")
+def _with_component(points: DataFrame, component: DataFrame) -> DataFrame:
+    return points.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _extended(component: DataFrame, found: DataFrame) -> DataFrame:
+    """Components of points, after ``found`` has joined some components."""
+    onward = found.select(F.col("id").alias("component"), F.col("component").alias("_to"))
+    known = component.join(onward, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    return known.unionByName(found.join(component, "id", "left_anti"))
+
+
+def classes(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents linked at ``percent`` % similarity of their sets of ``width`` words."""
+    known, points, component = _points(docs, width, percent)
+    # sets of equal smallest doc_id are one node
+    placed = _with_component(points, component)
+    least = placed.groupBy("x").agg(F.min("component").alias("b"), F.max("component").alias("top")).where("b <> top").select("x", "b")
+    same = placed.join(least, "x").select(F.col("component").alias("a"), "b").distinct()
+    component = _extended(component, components(same))
+    placed = _with_component(points, component)
+    smallest = placed.groupBy("component").agg(F.min("x").alias("component_id"))
+    to = placed.join(smallest, "component").select("set_key", "component_id")
+    found = known.join(to, "set_key", "left")
+    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def survivors(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from foliary.llm import jaccard, shingles
 from foliary.llm.graph import components
@@ -163,3 +164,70 @@ def test_components(spark):
             assert got[x] == find(x)
         else:
             assert find(x) == x
+
+
+@pytest.mark.parametrize("cell,block", [(4, 1000), (4, 3), (1000, 5)])
+def test_large_cells_and_groups(spark, monkeypatch, cell, block):
+    """Voronoi cells, pairs of blocks, and pivots of large groups give what one block gives."""
+    monkeypatch.setattr(jaccard, "CELL", cell)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "PIVOTS", 3)
+    monkeypatch.setattr(jaccard, "MET", 5)
+    docs = corpus(spark).where("doc_id IS NOT NULL")
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(jaccard.classes(docs))}
+    assert got == {(i, *v) for i, v in plain_classes(docs, 3, 90).items()}
+
+
+def near_pair(rng, n, percent):
+    """Two sets that are linked at this percentage, but for chance."""
+    share = (100 - percent) / 100
+    a = rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+    gone, more = rng.integers(0, int(n * share) + 1), rng.integers(0, int(n * share) + 1)
+    return np.unique(a), np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, more).astype(np.uint64) * np.uint64(2)]))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_pairs_share_prefixes_and_are_near_when_folded(percent):
+    rng = np.random.default_rng(percent)
+    tried = 0
+    for n in (2, 5, 11, 40, 64, 150, 1030, 2100):
+        for _ in range(40):
+            pair = near_pair(rng, n, percent)
+            common = len(np.intersect1d(*pair))
+            if 100 * common < percent * (len(pair[0]) + len(pair[1]) - common):
+                continue
+            tried += 1
+            both = np.intersect1d(*(jaccard.prefix(s, percent) for s in pair))
+            for s in pair:
+                need = -(-percent * len(s) // 100)
+                assert len(both) >= -(-jaccard.EXTRA * need // 100)
+            sizes, data = np.array([len(s) for s in pair]), [jaccard.folded(s).tobytes() for s in pair]
+            assert len(jaccard.near_folded(sizes, data, np.zeros(2, int), percent)) == 1
+            assert len(jaccard.linked_sets(sizes, [s.tobytes() for s in pair], np.array([0, 1]), percent)) == 1
+    assert tried > 60
+
+
+def test_windows_keep_linked_pairs_together():
+    """At the home of one of a linked pair stands the other one too."""
+    rng = np.random.default_rng(4)
+    base = [rng.integers(0, 1 << 63, 120).astype(np.uint64) for _ in range(4)]
+    pool = [np.unique(np.concatenate([b[rng.integers(0, 20) :], rng.integers(0, 1 << 63, rng.integers(1, 20)).astype(np.uint64)])) for b in base for _ in range(12)]
+    rows_ = [(i, len(s), jaccard.folded(s).tobytes()) for i, s in enumerate(pool)]
+    made = jaccard.voronoi(90)(5, rows_[:6], rows_).to_pylist()
+    cells = {}
+    for r in made:
+        cells.setdefault(r["id"], set()).add(r["cell"])
+    for a, b in jaccard.linked_sets(np.array([len(s) for s in pool]), [s.tobytes() for s in pool], np.zeros(len(pool), int), 90):
+        assert cells[a] & cells[b]
+
+
+def test_keys_that_two_ids_hold(spark):
+    rng = random.Random(8)
+    held = [(i, [rng.randrange(300) << 40 | 7 for _ in range(rng.randint(0, 9))] + [5] * (i % 2)) for i in range(200)]
+    df = spark.createDataFrame([(i, np.array(k, np.uint64).tobytes()) for i, k in held], "id long, keys binary").repartition(3)
+    who = {}
+    for i, keys in held:
+        for k in keys:
+            who.setdefault(k & ((1 << 48) - 1), set()).add(i)
+    got = {(r.key, r.id) for r in jaccard.shared_keys(df).collect()}
+    assert got == {(k, i) for k, ids in who.items() if len(ids) > 1 for i in ids}
