@@ -66,6 +66,26 @@ def encoded(text: Column) -> Column:
     return F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
 
 
+def decoded(text: Column) -> Column:
+    """What percent-encoding stands for; a plus sign stays."""
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def boolean(text: Column) -> Column:
+    """A flag without a value is set; else true or false in any case, and null for any other word."""
+    word = F.lower(text)
+    return F.when(text.isNull() | (word == "true"), True).when(word == "false", False)
+
+
+def crc32(content: Column) -> Column:
+    """Eight lower-case hex digits of the IEEE checksum."""
+    return F.lpad(F.lower(F.hex(F.crc32(content))), 8, "0")
+
+
+def new_uuid4() -> Column:
+    return F.uuid()
+
+
 def is_uuid4(text: Column) -> Column:
     return text.rlike(r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
 

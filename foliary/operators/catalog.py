@@ -56,10 +56,40 @@ def extract_type(wanted: Column, name: Column) -> Column:
     return F.coalesce(F.try_element_at(_map(EXTRACT), wanted), F.try_element_at(_map(EXTRACT), extension_of(name)))
 
 
+# Names of the parameters of each kind that has any.
+PARAMETERS = {
+    "file.compress": "id",
+    "image.ocr": "language",
+    "pptx.split": "indexes allowSize pptId versionIds replaceFiles",
+    "pptx.join": "hiddens contactId sections changedLayoutMap autoResize",
+    "pptx.embedFonts": "usedFonts",
+    "convertor.ppt2image": "resolution format",
+    "convertor.pdf2image": "resolution format",
+    "convertor.keynote2html": "isHost",
+    "convertor.html2png": "scale fullPage html width height",
+    "convertor.markdown2png": "scale theme pageWidth markdown",
+    "convertor.html2pptx": "needEmbedFonts html width height",
+    "html.buildPlayer": "contents pageWidth pageHeight title description brandMarkPosition",
+    "image.resize": "maxWidth maxHeight target",
+    "pdf.parse": "includeText includeImages minImageAreaRatio debug",
+    "html.getByURL": "url mode",
+    "generation": "inputText enableSearch advancedModel fastMode intent audience pageCount author",
+    "translation": "model from to useGlossary imageTranslate",
+    "revamp": "lang",
+}
+# Shapes of the results that are not files.
+RESULTS = {
+    "image.ocr": "text", "pptx.split": "slides", "pptx.getFontInfo": "fonts", "pptx.getTextShapes": "shapes", "convertor.html2pptx": "target", "pdf.parse": "pdf", "pptx.parse": "presentation",
+    "docx.parseTextAndImage": "docx", "keynote.parseTextAndImage": "keynote", "html.getByURL": "html", "generation": "downloadUrl", "translation": "downloadUrl", "revamp": "downloadUrl",
+}
+#: What turns the results of a kind into Markdown here; the kinds themselves run elsewhere.
+EXECUTORS = {"pdf.parse": "pdf_markdown", "pptx.parse": "pptx_markdown", "docx.parseTextAndImage": "docx_markdown", "keynote.parseTextAndImage": "keynote_markdown", "html.getByURL": "html_markdown"}
+
+
 def task_catalog(spark: SparkSession) -> DataFrame:
-    """task_type, multi_source and converted (whether results of this kind become Markdown here); the kinds themselves run elsewhere."""
-    done = {*PARSE.values(), "html.getByURL"}
-    return spark.createDataFrame([(t, t in MULTI_SOURCE, t in done) for t in TASK_TYPES], "task_type string, multi_source boolean, converted boolean")
+    """task_type, multi_source, parameters (names, by blanks), result and executor ('none' where the results are not converted here)."""
+    rows = [(t, t in MULTI_SOURCE, PARAMETERS.get(t, ""), RESULTS.get(t, "file"), EXECUTORS.get(t, "none")) for t in TASK_TYPES]
+    return spark.createDataFrame(rows, "task_type string, multi_source boolean, parameters string, result string, executor string")
 
 
 def validated(jobs: DataFrame, form: Column) -> DataFrame:

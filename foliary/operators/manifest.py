@@ -20,9 +20,14 @@ def upload_needed(files: DataFrame, stored: DataFrame) -> DataFrame:
     return files.join(stored.select("hash").distinct(), "hash", "left_anti")
 
 
-def inline_decision(files: DataFrame, *by: str) -> DataFrame:
-    """Per task: number of files, their bytes, and whether they go inline."""
-    return files.groupBy(*by).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).withColumn("inline", F.col("bytes") < INLINE_LIMIT)
+def inline_decision(files: DataFrame, *by: str, given: str | None = None) -> DataFrame:
+    """Per task: number of files, their bytes, and whether they go inline: there is one, they are small, and no ids are given.
+
+    ``given`` names a column with the number of ids that a task has besides.
+    """
+    summed = files.groupBy(*by).agg(F.count("bytes").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), *([F.max(given).alias("_given")] if given else []))
+    inline = (F.col("files") > 0) & (F.col("bytes") < INLINE_LIMIT)
+    return summed.withColumn("inline", inline & (F.coalesce("_given", F.lit(0)) == 0) if given else inline).drop("_given")
 
 
 def parts(size: Column, chunk: int = CHUNK) -> Column:
@@ -46,3 +51,14 @@ def progress(done: Column, total: Column) -> Column:
 def merged_options(file: dict[str, Column], default: dict[str, Column]) -> list[Column]:
     """Options of a file where it has them, else the task's."""
     return [F.coalesce(*[o[k] for o in (file, default) if k in o]).alias(k) for k in {**default, **file}]
+
+
+def completed_parts(parts: DataFrame, *by: str) -> DataFrame:
+    """What completing an upload sends: the tags of its parts in the order of their numbers, whatever order they came in."""
+    listed = F.array_sort(F.collect_list(F.struct("part_number", "tag")))
+    return parts.groupBy(*by).agg(F.count("*").alias("parts"), F.array_join(F.transform(listed, lambda p: F.concat(p["part_number"].cast("string"), F.lit("="), p["tag"])), ",").alias("completion"))
+
+
+def transfer(stored: Column, platform: Column, part_size: Column, size: Column) -> Column:
+    """How a file's bytes travel: not at all if the content is stored, in parts if the grant has a part size that it exceeds, else as a put to an object store or as a form."""
+    return F.when(stored, "none").when(size > part_size, "parts").when(platform == "oss", "put").otherwise("form")

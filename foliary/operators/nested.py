@@ -25,18 +25,18 @@ def texts(children: object) -> list[str]:
     return out
 
 
-def _of_json(function: Callable[[object], list[str]], value: Column) -> Column:
-    """The function's strings for each JSON text; none for null and for what is no JSON."""
+def _read(function: Callable[[object], list[str]], text: str | None) -> list[str]:
+    """The function's strings for a JSON text; none for null, for what is no JSON and beyond the JSON reader's own depth."""
+    try:
+        return function(json.loads(text)) if text else []
+    except (ValueError, RecursionError):
+        return []
+
 
+def _of_json(function: Callable[[object], list[str]], value: Column) -> Column:
     @F.pandas_udf("array<string>")
     def run(texts: pd.Series) -> pd.Series:
-        def read(text):
-            try:
-                return function(json.loads(text)) if text else []
-            except ValueError:
-                return []
-
-        return texts.map(read)
+        return texts.map(lambda text: _read(function, text))
 
     return run(value)
 
@@ -45,6 +45,16 @@ def texts_of_json(children: Column) -> Column:
     return _of_json(texts, children)
 
 
+def texts_of_each(children: Column) -> Column:
+    """For each JSON text of an array its texts."""
+
+    @F.pandas_udf("array<array<string>>")
+    def run(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda many: [_read(texts, x) for x in many] if many is not None else None)
+
+    return run(children)
+
+
 def files(result: object) -> list[str]:
     """Addresses of output files in a result tree, in document order.
 
@@ -52,22 +62,15 @@ def files(result: object) -> list[str]:
     objects are opened. ``downloadUrl`` counts too. Only http and https addresses are files.
     """
     out: list[str] = []
-
-    def walk(node: object) -> None:
-        if isinstance(node, list):
-            if node and isinstance(node[0], str):
-                out.append(node[0])
-            else:
-                for x in node:
-                    walk(x)
+    stack: list[object] = [result]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out.append(node)
+        elif isinstance(node, list):
+            stack.extend(node[:1] if node and isinstance(node[0], str) else [x for x in reversed(node) if isinstance(x, (list, dict))])
         elif isinstance(node, dict):
-            for k, v in node.items():
-                if k == "downloadUrl" and isinstance(v, str):
-                    out.append(v)
-                else:
-                    walk(v)
-
-    walk(result)
+            stack.extend(v for k, v in reversed(node.items()) if isinstance(v, (list, dict)) or (k == "downloadUrl" and isinstance(v, str)))
     return [u for u in out if u.startswith(("http://", "https://"))]
 
 

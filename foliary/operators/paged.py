@@ -78,14 +78,13 @@ def keynote_markdown(result: Column, to_url: ToUrl = _same) -> Column:
 
 
 def docx_markdown(result: Column, to_url: ToUrl = _same, texts_of: ToUrl | None = None) -> Column:
-    """Elements by index. ``texts_of`` turns the JSON of nested children into their texts (an array of strings)."""
-    texts_of = texts_of or (lambda _: F.array().cast("array<string>"))
+    """Elements by index. ``texts_of`` turns the JSON texts of all elements' children (an array) into an array of their texts for each."""
 
     def cells(rows: Column) -> Column:
         clean = lambda c: F.regexp_replace(F.replace(trimmed(c), F.lit("|"), F.lit("\\|")), r"\s*\n\s*", " ")
         return F.transform(F.filter(rows, lambda r: F.size(r) > 0), lambda r: F.transform(r, lambda c: F.coalesce(clean(c), F.lit(""))))
 
-    def block(e: Column) -> Column:
+    def block(e: Column, inner: Column) -> Column:
         text, level = trimmed(e["text"]), e["style"]["outlineLvl"]
         whole = (level >= 0) & (level == F.floor(level))
         title = F.lower(F.concat_ws(" ", e["style"]["styleId"], e["style"]["styleName"])).contains("title")
@@ -97,8 +96,11 @@ def docx_markdown(result: Column, to_url: ToUrl = _same, texts_of: ToUrl | None
             .when((e["type"] == "table") & F.exists(F.flatten(rows), lambda c: c != ""), table(rows))
             .when(e["type"] == "chart", joined(F.array(joined(e["categories"], " | "), joined(e["series"], " | ")), "\n"))
             .when(e["type"].isin("diagram", "sdt"), joined(F.transform(F.coalesce(e["texts"], F.array(e["text"])), trimmed), "\n"))
-            .when(e["type"].isin("group", "wsp"), joined(F.transform(texts_of(e["children"]), trimmed), "\n"))
+            .when(e["type"].isin("group", "wsp"), joined(F.transform(inner, trimmed), "\n"))
         )
 
-    numbered = F.transform(result["content"], lambda e, at: F.struct(F.coalesce(e["idx"], F.lit(0.0)).alias("idx"), at.alias("at"), block(e).alias("block")))
+    # a Python function may not stand inside a lambda, so children are opened beside the elements
+    content = result["content"]
+    opened = texts_of(F.transform(content, lambda e: e["children"])) if texts_of else F.transform(content, lambda e: F.array().cast("array<string>"))
+    numbered = F.transform(F.arrays_zip(content.alias("e"), opened.alias("inner")), lambda p, at: F.struct(F.coalesce(p["e"]["idx"], F.lit(0.0)).alias("idx"), at.alias("at"), block(p["e"], p["inner"]).alias("block")))
     return F.coalesce(joined(F.transform(F.array_sort(numbered), lambda b: b["block"]), "\n\n"), F.lit(""))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import trimmed
+from .manifest import INLINE_LIMIT
+
 FINAL = ("completed", "failed")
 
 
@@ -61,24 +64,89 @@ def started(log: DataFrame) -> DataFrame:
     return seen.where(F.col("status") == "pending").select("task_id", F.lit("running").alias("status"), "ts", (F.col("seq") + 1).alias("seq"))
 
 
+# Where a failed request's id and message are looked for, in this order.
+ID_HEADERS = ("x-request-id", "x-requestid", "request-id")
+ID_KEYS = ("requestId", "request_id", "RequestId", "xRequestId", "XRequestId", "traceId", "trace_id", "TraceId", "correlationId", "correlation_id")
+MESSAGE_KEYS = ("message", "error", "msg")
+
+
+def _strings(body: Column, keys: tuple[str, ...]) -> Column:
+    """The first of these members of an object (variant) that is a string and not blank."""
+    found = []
+    for key in keys:
+        text = trimmed(F.try_variant_get(body, f"$.{key}", "string"))
+        found.append(F.when((F.schema_of_variant(F.try_variant_get(body, f"$.{key}", "variant")) == "STRING") & (text != ""), text))
+    return F.coalesce(*found)
+
+
 def request_id(headers: Column, body: Column) -> Column:
-    """Id of a failed request from its headers (a map with lower-case names), else from its body (variant)."""
-    names = ("x-request-id", "request-id", "x-correlation-id")
-    keys = ("requestId", "request_id", "reqId", "traceId")
-    found = [F.try_element_at(headers, F.lit(n)) for n in names] + [F.try_variant_get(body, f"$.{k}", "string") for k in keys]
-    return F.coalesce(*[F.when(x != "", x) for x in found])
+    """Id of a failed request from its headers (a map; names in any case, with - or _), else from its body (variant)."""
+    plain = F.map_entries(headers)
+    named = F.filter(plain, lambda e: F.replace(F.lower(trimmed(e["key"])), F.lit("_"), F.lit("-")).isin(*ID_HEADERS) & (trimmed(e["value"]) != ""))
+    return F.coalesce(trimmed(F.get(named, F.lit(0))["value"]), _strings(body, ID_KEYS))
 
 
 def deleted(tasks: DataFrame, gone: DataFrame) -> DataFrame:
     return tasks.join(gone.select("task_id").distinct(), "task_id", "left_anti")
 
 
-def with_results(tasks: DataFrame, results: DataFrame) -> DataFrame:
-    """Results are kept apart from the tasks and joined on demand."""
-    return tasks.join(results, "task_id", "left")
+# Kinds of result that may be asked for, the kinds of task that offer them, and the one taken by default.
+RESULT_KINDS, CHOOSING, DEFAULT_KIND = ("html", "pptx", "image"), ("generation", "revamp"), "html"
+
+
+def with_results(tasks: DataFrame, results: DataFrame, kind: str | None = None) -> DataFrame:
+    """Tasks with the results that are kept apart from them (task_id, kind, result); a kind is chosen only where a task offers it."""
+    if kind is not None and kind not in RESULT_KINDS:
+        raise ValueError(f"unknown kind of result: {kind}")
+    wanted = F.when(F.col("type").isin(*CHOOSING), F.lit(kind or DEFAULT_KIND))
+    kept = results.withColumnsRenamed({"task_id": "_task", "kind": "_kind"})
+    return tasks.withColumn("kind", wanted).join(kept, (F.col("task_id") == F.col("_task")) & F.col("kind").eqNullSafe(F.col("_kind")), "left").drop("_task", "_kind")
+
+
+def error_message(body: Column, limit: int = 500, fallback: str = "Request failed") -> Column:
+    """Message of a failed request: that of an object, or a text (cut at ``limit`` characters), or the fallback. ``body`` is a variant."""
+    text = F.when(F.schema_of_variant(body) == "STRING", F.variant_get(body, "$", "string"))
+    cut = F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
+    return F.coalesce(cut, _strings(body, MESSAGE_KEYS), F.lit(fallback))
+
+
+def error_text(status: Column, message: Column, request: Column) -> Column:
+    base = F.concat(F.lit("API Error ("), F.coalesce(status.cast("string"), F.lit("unknown")), F.lit("): "), message)
+    return F.when(request.isNotNull(), F.concat(base, F.lit(" [X-RequestId: "), request, F.lit("]"))).otherwise(base)
+
+
+def created(jobs: DataFrame) -> DataFrame:
+    """The payload that creating each task sends, as a row of a log: task_type, inline, file_ids and body (JSON).
+
+    ``jobs`` has job, type, params (a map or null), space_id, name, file_ids (given) and files (an array of structs of
+    id and bytes, by position; id is that of the stored content). Ids of files follow the ids given, in order and with repeats.
+    """
+    files, given = F.coalesce("files", F.array().cast("array<struct<id:string,bytes:bigint>>")), F.coalesce("file_ids", F.array().cast("array<string>"))
+    size = F.aggregate(files, F.lit(0).cast("bigint"), lambda total, f: total + f["bytes"])
+    inline = (F.size(files) > 0) & (F.size(given) == 0) & (size < INLINE_LIMIT)
+    ids = F.when(inline, F.array().cast("array<string>")).otherwise(F.concat(given, F.transform(files, lambda f: f["id"])))
+    params = F.coalesce("params", F.create_map().cast("map<string,string>"))
+    body = F.struct(ids.alias("fileIds"), F.col("type"), params.alias("params"), F.when(F.col("space_id") != "", F.col("space_id")).alias("spaceId"), F.when(F.col("name") != "", F.col("name")).alias("name"))
+    return jobs.select("job", F.col("type").alias("task_type"), inline.alias("inline"), size.alias("bytes"), ids.alias("file_ids"), F.to_json(body).alias("body"))
+
+
+def paired(files: Column, prepared: Column, options: Column) -> Column:
+    """Files, what was prepared of them and their options by position; lists of different lengths are an error."""
+    even = (F.size(files) == F.size(prepared)) & (F.size(files) == F.size(options))
+    checked = F.when(F.assert_true(even, "lists of different lengths").isNull(), files)
+    return F.transform(checked, lambda f, at: F.struct(f.alias("file"), F.get(prepared, at).alias("prepared"), F.get(options, at).alias("options")))
+
 
+def polled(log: DataFrame, interval_s: int = 2, timeout_s: int = 300) -> DataFrame:
+    """What asking for each task every ``interval_s`` seconds finds: polls and outcome.
 
-def error_message(body: Column, limit: int = 500) -> Column:
-    """Message of an error body (variant): message, error or msg, cut at ``limit`` characters."""
-    found = [F.try_variant_get(body, f"$.{k}", "string") for k in ("message", "error", "msg")]
-    return F.substring(F.coalesce(*[F.when(x != "", x) for x in found]), 1, limit)
+    Each poll sees the last snapshot by then; the first that sees a final one ends it, as does the time.
+    """
+    began = log.groupBy("task_id").agg(F.min("ts").alias("began"))
+    seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000
+    placed = log.join(began, "task_id").withColumn("at", F.ceil((seconds("ts") - seconds("began")) / interval_s).cast("bigint"))
+    most = timeout_s // interval_s
+    # the last snapshot up to each poll at which something is new; between them nothing changes
+    seen = placed.where(F.col("at") <= most).groupBy("task_id", "at").agg(F.max_by("status", F.struct("ts", "seq")).alias("status"))
+    ended = seen.where(F.col("status").isin(*FINAL)).groupBy("task_id").agg(F.min(F.struct("at", "status")).alias("end"))
+    return began.join(ended, "task_id", "left").select("task_id", (F.coalesce("end.at", F.lit(most)) + 1).alias("polls"), F.coalesce("end.status", F.lit("timeout")).alias("outcome"))

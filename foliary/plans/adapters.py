@@ -61,9 +61,10 @@ def docx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*LINE))).alias("rows"))
     row = lambda r, i: F.array((i + 1).cast("string"), r["l_partkey"].cast("string"), r["l_quantity"].cast("bigint").cast("string"))
-    cells = F.concat(F.array(F.array(F.lit("line"), F.lit("part"), F.lit("qty"))), F.transform("rows", row))
+    header = F.array(F.array(F.lit("line"), F.lit("part"), F.lit("qty")))
+    cells = F.when(F.col("rows").isNull(), header).otherwise(F.concat(header, F.transform("rows", row)))  # an order may have no lines
     heading = F.concat(F.lit("Order "), F.col("o_orderkey"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey").join(kept, F.col("o_orderkey") == F.col("l_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey").join(kept, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     content = F.array(element(1, "table", none("string"), none("double"), cells), element(0, "text", heading, F.lit(0.0), none("array<array<string>>")))
     return orders.select("o_orderkey", F.struct(content.alias("content")).alias("result"))
 
@@ -76,6 +77,16 @@ def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shapes with some of no size, of one side only, and some blank ones as large as a slide."""
+    part, flat, blank = F.col("x") / 1000, F.lit(0).cast("bigint"), F.lit(" ")
+    none, line, back = part % 11 == 0, part % 17 == 0, part % 13 == 0
+    return shapes(spark, sf_dir).select(
+        "slide", "ord", F.when(back, flat).otherwise(F.col("x")).alias("x"), F.when(back, flat).otherwise(F.col("y")).alias("y"), F.when(none, flat).when(back, 9_000_000).otherwise(F.col("w")).alias("w"),
+        F.when(none | line, flat).when(back, 6_000_000).otherwise(F.col("h")).alias("h"), F.when(back | (part % 5 == 0), blank).otherwise(F.col("txt")).alias("txt"), "hidden",
+    )
+
+
 def decks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shapes of each slide as the JSON of a deck."""
     run = F.struct(F.array(F.struct(F.array(F.struct(F.col("txt").alias("t"))).alias("children"))).alias("children"))

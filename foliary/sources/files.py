@@ -25,9 +25,19 @@ def in_memory(spark: SparkSession, blobs: list[tuple[str | None, bytes]]) -> Dat
     return spark.createDataFrame(blobs, "name string, content binary")
 
 
-def by_url(pages: DataFrame, urls: DataFrame) -> DataFrame:
-    """Landed pages for the URLs asked for; fetching is done elsewhere."""
-    return urls.select("url").distinct().join(pages, "url", "left")
+# How a page is taken, as sent or as it runs in a browser; the second unless asked.
+MODES = ("source", "runtime")
+
+
+def by_url(pages: DataFrame, urls: DataFrame, mode: str = "runtime") -> DataFrame:
+    """Landed pages for the URLs asked for, each once; fetching is done elsewhere. A URL that has not landed has no html.
+
+    If ``pages`` has a column mode, only those taken in that way count.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    landed = pages.where(F.col("mode") == mode).drop("mode") if "mode" in pages.columns else pages
+    return urls.select("url").distinct().join(landed, "url", "left").withColumn("mode", F.lit(mode))
 
 
 def by_id(ids: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,92 @@ def until_final(snapshots: Iterator[dict]) -> tuple[list[dict], bool]:
     return out, False
 
 
+def decoded(chunks: Iterator[bytes]) -> Iterator[str]:
+    """Text of UTF-8 chunks; a character that is cut between two of them comes out whole."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for chunk in chunks:
+        yield decoder.decode(chunk)
+    yield decoder.decode(b"", final=True)
+
+
+def lines(pieces: Iterator[str]) -> Iterator[str]:
+    """Lines of a text that comes in pieces."""
+    rest = ""
+    for piece in pieces:
+        *whole, rest = (rest + piece).split("\n")
+        yield from whole
+    if rest:
+        yield rest
+
+
+#: How an answer is read, by words of its content type.
+KINDS = (("application/json", "json"), ("event-stream", "events"))
+
+
+def answer_kind(content_type: str | None) -> str | None:
+    return next((kind for word, kind in KINDS if word in (content_type or "").lower()), None)
+
+
+def read_answer(content_type: str | None, chunks: list[bytes]) -> tuple[int, str | None, str | None]:
+    """Snapshots seen, the last status, and an error.
+
+    A JSON body is one snapshot and ends the reading. An event stream is read up to the first final
+    snapshot; one that ends before it is an error that calls for another try. Another kind is an error that does not.
+    """
+    kind = answer_kind(content_type)
+    if kind is None:
+        return 0, None, f"Unexpected Content-Type: {(content_type or '').lower()}"
+    if kind == "json":
+        try:
+            seen, ended = [json.loads(b"".join(chunks))], True
+        except ValueError as e:
+            return 0, None, f"no JSON: {type(e).__name__}"
+    else:
+        seen, ended = until_final(s for s in frames(lines(decoded(iter(chunks)))) if isinstance(s, dict))
+    last = seen[-1].get("status") if seen and isinstance(seen[-1], dict) else None
+    return len(seen), last, None if ended else "SSE connection ended before task completion"
+
+
+def answers(content_type: Column, chunks: Column) -> Column:
+    """snapshots, status and error of whole answers, each with its content type and its chunks of bytes."""
+
+    @F.pandas_udf("struct<snapshots:bigint,status:string,error:string>")
+    def read(types: pd.Series, bodies: pd.Series) -> pd.DataFrame:
+        found = [read_answer(t, list(b) if b is not None else []) for t, b in zip(types, bodies, strict=True)]
+        return pd.DataFrame(found, columns=["snapshots", "status", "error"])
+
+    return read(content_type, chunks)
+
+
+def reconnects(error: Column) -> Column:
+    """Whether a broken stream is opened again: transport errors only, not answers of the service or of another kind."""
+    return ~(error.startswith("API Error") | error.startswith("Unexpected Content-Type:"))
+
+
+class Following:
+    """A running stream of snapshots; each batch goes to ``on_update``, what the callback raises to ``on_error``."""
+
+    def __init__(self, stream: DataFrame, on_update: Callable[[DataFrame], None], checkpoint: str, on_error: Callable[[Exception], None] | None = None, every: str | None = None):
+        def deliver(batch: DataFrame, number: int) -> None:
+            try:
+                on_update(batch)
+            except Exception as e:
+                if on_error is None:
+                    raise
+                on_error(e)
+
+        writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+        self.query = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+    def wait(self, seconds: float | None = None) -> bool:
+        return bool(self.query.awaitTermination(seconds)) if seconds is not None else self.query.awaitTermination() is None
+
+    def close(self) -> None:
+        """Ends the stream; closing again does nothing."""
+        if self.query.isActive:
+            self.query.stop()
+
+
 def event_bodies(streams: Column) -> Column:
     """JSON of each event of whole event-stream texts, as an array."""
 

@@ -46,7 +46,7 @@ def test_keynote(spark):
 
 
 def docx(spark, content):
-    return one(spark, {"content": content}, paged.DOCX_SCHEMA, lambda r: paged.docx_markdown(r, texts_of=lambda c: F.split(c, "#")))
+    return one(spark, {"content": content}, paged.DOCX_SCHEMA, lambda r: paged.docx_markdown(r, texts_of=lambda c: F.transform(c, lambda x: F.split(x, "#"))))
 
 
 def test_docx(spark):
@@ -140,4 +140,4 @@ def test_html():
 def test_html_errors_stay_in_their_row(spark):
     df = spark.createDataFrame([("<body>x</body>", "u"), (None, None)], "h string, u string")
     got = [r.r for r in df.select(html.converted(F.col("h"), F.col("u")).alias("r")).collect()]
-    assert [r.markdown for r in got] == ["x", None] and got[1].error == "empty content extracted"
+    assert [r.markdown for r in got] == ["x", None] and got[1].error == "html2markdown: empty content extracted"
