@@ -5,16 +5,19 @@ most three times. Along a fixed order of the source's documents the expected
 copies are summed; one random offset per source is added, and a document is
 emitted once for each integer that its stretch of the sum crosses.
 
-The order is by size class and then by a digest of doc_id, so that every size
-class is sampled evenly and a source's words come near its target. It needs no
-global sort: counts per cell (source, size class, first digits of the digest)
+The order is by size class and then by a digest of doc_id and text, so that every
+size class is sampled evenly and a source's words come near its target. It needs
+no global sort: counts per cell (source, size class, first digits of the digest)
 are summed over cells, whose number does not grow with the documents of a
-source, and ranks are taken inside the cells, which split a source of any size.
-
-Null sources form one source; null texts have size 0. A null doc_id is ordered
-as the empty text. Repeated rows are documents of their own; which of several
-rows of equal doc_id, source and size gets the extra copy does not show in the
-result. A source without words has target 0. An empty table gives no rows.
+source, and ranks by doc_id and size are taken inside the cells, which split a
+source of any size, and rows of one doc_id or none as well.
+
+Null sources form one source; null texts have size 0. Repeated rows are documents
+of their own. The order depends on the rows alone, not on where they stand: rows
+that agree in doc_id, source, size and cell can change places, but nothing of
+that shows in the result, and mixed() shares their copies by their texts. A
+source without words has target 0. An empty table gives no rows. Other columns
+are kept by mixed(), whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -71,18 +74,19 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
             F.col("source").isNull().cast("int").alias("is_null"),
             F.coalesce(F.col("source"), F.lit("")).alias("name"),
             size_of(F.col("text")).alias("size"),
+            F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))).alias("digest"),
         ).select(
             "*",
             (length * 16 + F.call_function("shiftright", size, F.greatest(length - 4, F.lit(0)))).cast("int").alias("class"),
-            F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2).alias("part"),
-        ),
+            F.substring("digest", 1, 2).alias("part"),
+        ).drop("digest"),
         "sizes",
     )
     cell = ["is_null", "name", "class", "part"]
     cells = sized.groupBy(*cell).agg(F.count("*").alias("n"))
     before = F.sum("n").over(W.partitionBy("is_null", "name").orderBy("class", "part")) - F.col("n")
     cells = cells.withColumn("before", before).drop("n").join(plan(sized, weights, most, seed), ["is_null", "name"])
-    rank = F.row_number().over(W.partitionBy(*cell).orderBy("doc_id"))
+    rank = F.row_number().over(W.partitionBy(*cell).orderBy("doc_id", "size"))
     k = F.col("before") + F.col("rank")
     crossed = F.floor(F.col("offset") + F.col("rate") * k) - F.floor(F.col("offset") + F.col("rate") * (k - 1))
     return (
@@ -94,13 +98,14 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    chosen = copies(docs, weights, most, seed).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows"))
+    chosen = copies(docs, weights, most, seed).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     # rows that agree in doc_id, source and size share their copies evenly, the first ones one more
-    keyed = docs.withColumn("_size", size_of(F.col("text")))
-    joined = keyed.join(chosen.withColumnsRenamed({"doc_id": "_doc", "source": "_source", "size": "_words"}), F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_words")))
-    rank = F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text")))
-    share = F.floor((F.col("_all") + F.col("_rows") - rank) / F.col("_rows")).cast("int")
-    return joined.withColumn("_n", share).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_n"), F.lit(1))))).where("_n > 0").select(*docs.columns)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (size_of(F.col("row.text")) == F.col("size"))
+    rank = F.row_number().over(W.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("row.text")))
+    share = F.floor((F.col("copies") + F.col("rows") - rank) / F.col("rows")).cast("int")
+    taken = keyed.join(chosen, same).select("row", share.alias("n")).where("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -117,11 +122,12 @@ def sql(documents: str = "documents", seed: str = SEED) -> str:
     return f"""
 WITH s AS (
   SELECT doc_id, CAST(source IS NULL AS INTEGER) AS is_null, coalesce(source, '') AS name,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS digest
   FROM {documents}
 ), c AS (
   SELECT *, length(bin(size)) * 16 + (size >> greatest(length(bin(size)) - 4, 0)) AS class,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 2) AS part
+         substr(digest, 1, 2) AS part
   FROM s
 ), g AS (
   SELECT is_null, name, sum(size) AS source_size FROM c GROUP BY ALL
@@ -138,7 +144,7 @@ l AS (
          CAST(('0x' || substr(md5('{seed}:' || is_null || ':' || name), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS u
   FROM l
 ), k AS (
-  SELECT c.*, row_number() OVER (PARTITION BY is_null, name ORDER BY class, part, doc_id NULLS FIRST) AS k FROM c
+  SELECT c.*, row_number() OVER (PARTITION BY is_null, name ORDER BY class, part, doc_id NULLS FIRST, size) AS k FROM c
 )
 SELECT k.doc_id, k.size, p.source_size, p.target,
        CAST(k.size * least({MOST_COPIES}, CASE WHEN p.source_size > 0 THEN floor(u + target / p.source_size * k) - floor(u + target / p.source_size * (k - 1)) ELSE 0 END) AS BIGINT) AS taken

@@ -50,3 +50,23 @@ def test_mix_emits_the_copies(spark):
 def test_empty_table(spark):
     assert mixing.report(corpus(spark).limit(0)).count() == 0
     assert mixing.mixed(corpus(spark).limit(0)).count() == 0
+
+
+def test_reruns_agree_for_shuffled_rows_and_repeated_ids(spark):
+    rng = random.Random(3)
+    made = [(rng.randrange(40), " ".join(["w"] * rng.randint(1, 40)) + rng.choice(["", "", " v"]), rng.choice("ab")) for _ in range(400)] + [(None, "w " * i, "a") for i in range(30)]
+    first, again = documents(spark, made), documents(spark, rng.sample(made, len(made))).repartition(7)
+    assert rows(mixing.report(first)) == rows(mixing.report(again))
+    assert rows(mixing.mixed(first)) == rows(mixing.mixed(again))
+    same(mixing.report(first), mixing.sql(), documents=first)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, [(i, "w " * 50, "a") for i in range(20)])
+    names = ("_size", "_n", "_copy", "_doc", "_source", "_words", "_all", "_rows", "size", "copies", "rows", "row", "n", "copy", "rank")
+    wide = docs.select("doc_id", "text", "source", *[F.lit(77 + i).alias(c) for i, c in enumerate(names)])
+    out = mixing.mixed(wide)
+    assert out.columns == wide.columns and out.count() == 20
+    assert all(tuple(r)[3:] == tuple(77 + i for i in range(len(names))) for r in out.collect())
