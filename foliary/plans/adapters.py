@@ -99,9 +99,13 @@ def decks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as snapshots of tasks."""
+    return snapshots_of(table(spark, sf_dir, "events"))
+
+
+def snapshots_of(events: DataFrame) -> DataFrame:
     status = F.create_map(*map(F.lit, ("signup", "pending", "view", "running", "click", "running", "purchase", "completed", "error", "failed")))
     kind = F.element_at(F.array(*map(F.lit, TASK_TYPES)), (F.get_json_object("props", "$.k").cast("int") % len(TASK_TYPES)) + 1)
-    return table(spark, sf_dir, "events").select(F.col("user_id").alias("task_id"), kind.alias("type"), status[F.col("event_type")].alias("status"), "ts", F.col("event_id").alias("seq"))
+    return events.select(F.col("user_id").alias("task_id"), kind.alias("type"), status[F.col("event_type")].alias("status"), "ts", F.col("event_id").alias("seq"))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,4 +163,7 @@ SELECT job, CASE WHEN n = 1 THEN 'file' ELSE 'zip' END AS sink, '0' || i || '.tx
 WITH {_LOG}, e AS (SELECT task_id, min((ts, seq)) AS stop FROM log WHERE status IN ('completed', 'failed') GROUP BY task_id)
 SELECT log.task_id, count(*) AS snapshots, arg_max(status, (ts, seq)) AS status, CASE WHEN bool_or(stop IS NULL) THEN 'SSE connection ended before task completion' END AS error
 FROM log LEFT JOIN e ON e.task_id = log.task_id WHERE stop IS NULL OR (ts, seq) <= stop GROUP BY log.task_id""",
+    "task_follow": f"WITH {_LOG} SELECT task_id, arg_min(status, (ts, seq)) AS outcome, arg_min(seq, (ts, seq)) AS seq FROM log WHERE status IN ('completed', 'failed') GROUP BY task_id",
+    "file_scan": "SELECT * FROM (VALUES ('nation.parquet', true), ('region.parquet', true)) AS t(name, whole)",
+    "blob_scan": """SELECT name, CAST(bytes AS BIGINT) AS bytes, hash, crc FROM (VALUES ('a.txt', 3, md5('abc'), '352441c2'), ('empty.bin', 0, md5(''), '00000000'), ('digits', 9, md5('123456789'), 'cbf43926')) AS t(name, bytes, hash, crc)""",
 }

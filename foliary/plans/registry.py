@@ -12,7 +12,7 @@ from ..functions import text
 from ..operators import catalog, facade, html, manifest, nested, outputs, paged, slides, tasks, validation
 from ..sources import files
 from ..sources.files import table
-from ..streaming.events import answers, event_bodies
+from ..streaming.events import answers, drained, event_bodies, follow
 from . import adapters, cases
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,12 +290,33 @@ def stream_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("task_id", answers(F.lit("text/event-stream"), F.col("chunks")).alias("r")).select("task_id", "r.snapshots", "r.status", "r.error")
 
 
+def task_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The task log as a stream of files, followed until each task's end."""
+    landed = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
+    log = adapters.snapshots_of(landed).select(F.col("task_id").cast("string").alias("task_id"), "type", "status", "seq", F.col("ts").cast("timestamp").alias("ts"))
+    ended = drained(follow(log, "1000 days"), "task-follow")
+    return ended.where("outcome <> 'timeout'").select(F.col("task_id").cast("bigint").alias("task_id"), "outcome", "seq")
+
+
+def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the tables as files: their names, and whether their bytes begin and end as Parquet does."""
+    found = files.files(spark, sf_dir, "{nation,region}.parquet")
+    edge = lambda at: F.substring(F.col("content"), at, 4) == F.lit(b"PAR1")
+    return found.select("name", (edge(1) & edge(-4)).alias("whole"))
+
+
+def blob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in memory, with their manifest and CRC."""
+    held = files.in_memory(spark, [("a.txt", b"abc"), ("empty.bin", b""), ("digits", b"123456789")])
+    return manifest.manifest(held).join(held.select("name", text.crc32(F.col("content")).alias("crc")), "name")
+
+
 #: Each with its own name.
 ALL = (
     pdf_markdown, keynote_markdown, docx_markdown, pptx_markdown, pptx_participants, pptx_virtual_container, pptx_rows, html_markdown, html_title,
     route_parse, route_files, convert_validation, task_catalog, file_manifest, upload_needed, inline_decision, chunk_plan, tasks_page, tasks_total,
     output_files, event_stream, task_started, task_deleted, job_validation, task_latest, task_first_final, task_until_final, task_outcome, task_progress, output_plan, is_retriable,
-    parse_documents, pages_by_url, files_by_id, results_fetched, results_decoded, tasks_created, tasks_polled, paired_files, upload_completion, upload_transfer, zip_outputs, stream_updates, *cases.ALL,
+    parse_documents, pages_by_url, files_by_id, results_fetched, results_decoded, tasks_created, tasks_polled, paired_files, upload_completion, upload_transfer, zip_outputs, stream_updates, task_follow, file_scan, blob_scan, *cases.ALL,
 )
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import codecs
 import json
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -143,6 +147,26 @@ def snapshots(spark: SparkSession, path: str, per_trigger: int = 16) -> DataFram
     return spark.readStream.schema(SNAPSHOT).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
+def checkpoint_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a stream's state, in the one that driver and executors share; on one machine without one, a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="foliary-")
+        atexit.register(shutil.rmtree, shared, True)
+    return f"{shared.rstrip('/')}/foliary/{name}-{uuid.uuid4().hex}"
+
+
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """All that a stream gives from what has landed so far: written as Parquet beside its state, and read back."""
+    spark = stream.sparkSession
+    at = checkpoint_folder(spark, name)
+    query = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{at}/rows")
+
+
 def follow(stream: DataFrame, timeout: str = "5 minutes") -> DataFrame:
     """One row for each task when it is first completed or failed, or when nothing final has come in time.
 
