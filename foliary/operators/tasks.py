@@ -150,3 +150,17 @@ def polled(log: DataFrame, interval_s: int = 2, timeout_s: int = 300) -> DataFra
     seen = placed.where(F.col("at") <= most).groupBy("task_id", "at").agg(F.max_by("status", F.struct("ts", "seq")).alias("status"))
     ended = seen.where(F.col("status").isin(*FINAL)).groupBy("task_id").agg(F.min(F.struct("at", "status")).alias("end"))
     return began.join(ended, "task_id", "left").select("task_id", (F.coalesce("end.at", F.lit(most)) + 1).alias("polls"), F.coalesce("end.status", F.lit("timeout")).alias("outcome"))
+
+
+# Seconds before each further try of a call, and before and at most how often a broken stream is opened again.
+RETRY_DELAYS, REOPEN_DELAY, REOPENINGS = (5, 10, 20), 5, 100
+
+
+def retry_delay(tried: Column) -> Column:
+    """Seconds to wait after so many failed tries of a call (from 1); null if there is no further one."""
+    return F.when(tried >= 1, F.get(F.array(*map(F.lit, RETRY_DELAYS)), (tried - 1).cast("int")))
+
+
+def reopen_delay(opened: Column) -> Column:
+    """Seconds to wait before a stream is opened again for the n-th time; null beyond the last."""
+    return F.when(opened.between(1, REOPENINGS), F.lit(REOPEN_DELAY))

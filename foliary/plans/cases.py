@@ -155,6 +155,8 @@ SCALARS: dict[str, list[tuple[str | None, str | None]]] = {
     "output_files": [('{"x":["https://h/1",5],"y":[["https://h/2",1],{"downloadUrl":"http://h/3"}],"z":"https://no","w":["local",1]}', "https://h/1,https://h/2,http://h/3"), ('["https://h/1","https://h/2"]', "https://h/1"), ("{", ""), ("[" * 300 + '["http://h/4"]' + "]" * 300, "http://h/4")],
     "size_error": [("10", None), ("0", "INVALID_ARGS"), ("x", "INVALID_ARGS"), (None, None)],
     "unsupported": [("a.txt", 'Cannot determine parser for "a.txt". Supported extensions: .pdf, .pptx, .docx, .key. Pass { name } to specify the file name.'), (None, "Cannot determine parser for input. Supported extensions: .pdf, .pptx, .docx, .key. Pass { name } to specify the file name.")],
+    "retry_delay": [("1", "5"), ("2", "10"), ("3", "20"), ("4", None), ("0", None)],
+    "reopen_delay": [("1", "5"), ("100", "5"), ("101", None)],
     "failure": [("", "Task failed: Unknown error"), ("e", "Task failed: e"), (None, "Task failed: Unknown error")],
 }
 _FUNCTIONS: dict[str, Callable[[Column], Column]] = {
@@ -168,6 +170,8 @@ _FUNCTIONS: dict[str, Callable[[Column], Column]] = {
     "output_files": lambda c: F.array_join(nested.files_of_json(c), ","),
     "size_error": lambda c: validation.size_error(c, F.lit(None).cast("string")),
     "unsupported": facade.unsupported,
+    "retry_delay": lambda c: tasks.retry_delay(c.try_cast("int")),
+    "reopen_delay": lambda c: tasks.reopen_delay(c.try_cast("int")),
     "failure": tasks.failure,
 }
 
