@@ -32,8 +32,9 @@ from pyspark.sql import types as T
 
 from .shared import slices, table, text_or_empty
 
-LEAF_CHARS = 4096
-LEAF_BYTES = 256
+#: Characters (or ids, in decoding) and bytes of one match that are a leaf of the tree.
+LEAF_CHARS = 256
+LEAF_BYTES = 64
 
 
 def load_ranks(path: str) -> bytes:
