@@ -1,29 +1,30 @@
-"""Removal of long repeated byte strings with blockwise suffix sorting.
+"""Removal of long repeated byte strings with blockwise suffix sorting and a difference cover.
 
 A string of ``LENGTH`` bytes that occurs twice holds the same smallest hash of a
 short window at the same place (the leftmost smallest, which depends on the
 string alone). So all suffixes whose first ``LENGTH`` bytes can be equal lie in
-one suffix bucket: the stretch of starting places that share that anchor.
+one suffix bucket: the stretches of starting places that share that anchor.
 
 1. Every document is cut into such stretches; each is named by its anchor's
    hash and by a digest of all bytes that its strings cover.
 2. Stretches with equal digests repeat each other in full. Of the others, those
    that share an anchor with a different stretch are compared.
-3. Buckets are sorted one block at a time. Inside a block, ranks of a sample of
-   places (a difference cover with respect to the anchors: in every bucket all
-   stretches are aligned at their anchor, so one residue serves each pair) are
-   computed first, by doubling. Suffixes are sorted by their head and tail
-   bytes, and ties between are resolved by the ranks of the sampled places that
-   follow, in one comparison however long the tie is. Neighbours that agree in
-   ``LENGTH`` bytes are repeats.
-4. Buckets with more stretches than ``HOT`` are sorted by starting place
-   instead: each of their suffixes becomes a row with a 128-bit digest of its
-   bytes, and equal rows are counted, so that no bucket has to fit one task.
+3. Buckets are sorted one block at a time, by the place of the anchor and the
+   bytes at both ends of each string. Long ties are resolved by a difference
+   cover: for places whose residues are in the cover, ranks of what follows are
+   computed first, by doubling; of two suffixes that tie, the bytes up to the
+   next places that both have in the cover agree already, and the ranks there
+   decide, in one comparison however long the tie is. Memory is that of a block.
+4. A bucket with more than ``HOT`` different stretches may not fit one task. Its
+   suffixes become rows of their own with a 128-bit digest of their bytes, which
+   are counted wherever they lie, so that bucket is solved as exactly as others.
 
 Each removed byte is covered by a repeated string of the input, whatever else is
 removed. Matches never cross documents. Null texts count as empty. Documents
 are told apart by doc_id and text; equal rows are documents of their own that
-repeat each other, so all their bytes go if there are ``LENGTH`` of them.
+repeat each other, so all their bytes go if there are ``LENGTH`` of them. An
+empty table gives no rows. cleaned() replaces columns called n_bytes, n_removed,
+n_spans or kept and passes all others through.
 """
 
 from __future__ import annotations
@@ -37,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import slices, table, text_or_empty, written
+from .shared import drop_written, slices, table, written
 from .shingles import mix
 
 LENGTH = 400
-#: Bytes whose hash makes an anchor, and the spacing of the sample; powers of two.
-GRAM, STEP = 64, 16
+#: Bytes whose hash makes an anchor, and the modulus of the difference cover; powers of two.
+GRAM, MODULUS = 64, 32
 #: Stretches of one bucket, and bytes of one block, that are sorted at once.
 HOT, BLOCK = 2000, 2 << 20
 SEGMENT = 1 << 20
@@ -106,9 +107,34 @@ _NAMES = ["anchor", "digest", "doc_id", "text_key", "low", "high", "at"]
 _TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 
 
+@functools.lru_cache(maxsize=None)
+def difference_cover(modulus: int) -> tuple[int, ...]:
+    """Residues among which every difference modulo ``modulus`` occurs; each one added covers the most new differences."""
+    chosen, covered = [0, 1], {0, 1, modulus - 1}
+    while len(covered) < modulus:
+        gain = lambda x: len({(x - y) % modulus for y in chosen} | {(y - x) % modulus for y in chosen} | covered)
+        best = max((x for x in range(modulus) if x not in chosen), key=lambda x: (gain(x), -x))
+        covered |= {(best - y) % modulus for y in chosen} | {(y - best) % modulus for y in chosen}
+        chosen.append(best)
+    return tuple(sorted(chosen))
+
+
+@functools.lru_cache(maxsize=None)
+def shifts(modulus: int) -> np.ndarray:
+    """For two residues, how far both have to go to stand in the cover."""
+    cover = difference_cover(modulus)
+    start = {(y - x) % modulus: x for x in cover for y in cover}
+    return np.array([[(start[(j - i) % modulus] - i) % modulus for j in range(modulus)] for i in range(modulus)])
+
+
 def _ids(*columns: np.ndarray) -> np.ndarray:
     """Ranks of the rows of these columns in their order; equal rows have equal ranks."""
-    order = np.lexsort(columns[::-1])
+    if len(columns) == 2 and columns[0].dtype == columns[1].dtype == np.int64 and len(columns[0]):
+        a, b = columns
+        span = int(b.max()) - int(b.min()) + 1
+        if (int(a.max()) - int(a.min()) + 1) * span < 1 << 62:  # both fit one number, which sorts faster
+            columns = ((a - a.min()) * span + (b - b.min()),)
+    order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
     new = np.zeros(len(order), np.int64)
     for c in columns:
         s = c[order]
@@ -118,48 +144,87 @@ def _ids(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def sort_block(bodies: list[bytes], shifts: list[int], counts: list[int], length: int = LENGTH, step: int = STEP) -> list[np.ndarray]:
-    """Per stretch: which of its starting places begin strings that repeat among all of these.
-
-    bodies: the bytes that a stretch's strings cover; shifts: its anchor's place in it.
-    """
-    words = step // 8
-    # each body so that its anchor lies on a multiple of ``step``; ``step`` further bytes behind
-    lead = [-s % step for s in shifts]
-    room = [-(-(a + len(b)) // step) * step + step for a, b in zip(lead, bodies, strict=True)]
-    base = np.cumsum([0, *room])
-    data = np.zeros(base[-1] + length + step, np.uint8)
-    for at, a, b in zip(base, lead, bodies, strict=False):
-        data[at + a : at + a + len(b)] = np.frombuffer(b, np.uint8)
-    at = np.concatenate([np.arange(b + a, b + a + len(body) - length + 1) for b, a, body in zip(base, lead, bodies, strict=False)])
-    size = [len(b) - length + 1 for b in bodies]
+def _tied(rank: np.ndarray) -> np.ndarray:
+    """Which rows share their rank with another one."""
+    return np.bincount(rank)[rank] > 1 if len(rank) else np.zeros(0, bool)
 
-    def word(places: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[places]).view(">u8").ravel().astype(np.uint64)
 
-    # ranks of the sample by ``deep`` bytes: double, then once more to the full depth
-    deep = (length - step) // step * step
-    sample = np.arange(0, len(data) - step + 1, step)
-    rank = _ids(*[word(sample + 8 * k) for k in range(words)])
-    have = step
+def cover_ranks(data: np.ndarray, depth: int, modulus: int) -> np.ndarray:
+    """Ranks of the strings of ``depth`` bytes (a multiple of the modulus) that begin at the places of the cover, by place; by doubling."""
+    cover = np.array(difference_cover(modulus))
+    rows = (len(data) - modulus) // modulus  # of whole steps
+    # one row of the cover's places after the other, so that a step ahead is as many entries ahead as the cover has
+    place = (np.arange(rows)[:, None] * modulus + cover).ravel()
+    rank = _ids(*[_word(data, place + 8 * k) for k in range(modulus // 8)])
 
-    def ahead(r: np.ndarray, by: int) -> np.ndarray:
-        out = np.full(len(r), -1, np.int64)
-        out[: len(r) - by // step] = r[by // step :]
+    def ahead(by: int) -> np.ndarray:
+        out, step = np.full(len(rank), -1, np.int64), by // modulus * len(cover)
+        out[: max(0, len(rank) - step)] = rank[step:]
         return out
 
-    while 2 * have <= deep:
-        rank = _ids(rank, ahead(rank, have))
-        have *= 2
-    if have < deep:
-        rank = _ids(rank, ahead(rank, deep - have))
-    # a string is its head, the sampled string of ``deep`` bytes that begins inside the head or next, and its tail
-    place = np.repeat(np.array(shifts) + base[:-1] + np.array(lead), size) - at
-    middle = rank[-(-at // step)]
-    tail = [word(at + length - 2 * step + 8 * k) for k in range(2 * words)]
-    group = _ids(place, *[word(at + 8 * k) for k in range(words)], middle, *tail)
-    weight = np.bincount(group, weights=np.repeat(counts, size))
-    return np.split(weight[group] > 1, np.cumsum(size)[:-1])
+    have = modulus
+    while have < depth:
+        more = min(have, depth - have)
+        rank = _ids(rank, ahead(more))
+        have += more
+    out = np.full(len(data) + modulus, -1, np.int64)
+    out[place] = rank
+    return out
+
+
+def _word(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as a number that sorts like them."""
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[places]).view(">u8").ravel().astype(np.uint64)
+
+
+def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], length: int = LENGTH, modulus: int = MODULUS) -> list[np.ndarray]:
+    """Per stretch: which of its starting places begin strings that repeat among all of these.
+
+    bodies: the bytes that a stretch's strings cover; shifts_: its anchor's place in it. Suffixes are
+    sorted by their place before the anchor and by bytes at their ends; of those that tie, two are compared
+    by the bytes up to the next places that both have in the cover, and by the ranks there.
+    """
+    while 2 * modulus > length:  # a string holds the way to the cover and a whole step behind it
+        modulus //= 2
+    size = [len(b) - length + 1 for b in bodies]
+    base = np.cumsum([0, *map(len, bodies)])
+    data = np.concatenate([np.frombuffer(b"".join(bodies), np.uint8), np.zeros(2 * modulus + 8, np.uint8)])
+    at = np.concatenate([np.arange(b, b + n) for b, n in zip(base, size, strict=False)])
+    place = np.repeat(np.array(shifts_) + base[:-1], size) - at
+    copies = np.repeat(np.array(counts), size)
+    repeated = copies > 1
+    depth = (length - modulus) // modulus * modulus
+    ends = [8 * k for k in range(modulus // 8)]
+    tail = sorted({length - 8 - 8 * k for k in range(-(-(length - depth) // 8))})
+    left = np.arange(len(at))
+    group = place
+    # bytes at both ends, a few at a time, and only of what still ties
+    for offsets in ([ends[0], tail[-1]], [*ends[1:], *tail[:-1]]):
+        if not len(left):
+            break
+        group = _ids(group, *[_word(data, at[left] + k) for k in offsets])
+        tied = _tied(group)
+        left, group = left[tied], group[tied]
+    if len(left):
+        ranks, step = cover_ranks(data, depth, modulus), shifts(modulus)
+        residue = at[left] % modulus
+        by = [np.flatnonzero(residue == r) for r in range(modulus)]
+        for i in range(modulus):
+            for j in range(i, modulus):
+                both = by[i] if i == j else np.concatenate([by[i], by[j]])
+                if len(both) < 2 or not len(by[i]) or not len(by[j]):
+                    continue
+                key = _ids(group[both], ranks[at[left[both]] + step[i, j]])
+                if i == j:
+                    hit = _tied(key)
+                else:
+                    first = np.zeros(key.max() + 1, bool)
+                    second = first.copy()
+                    first[key[: len(by[i])]] = True
+                    second[key[len(by[i]) :]] = True
+                    hit = (first & second)[key]
+                repeated[left[both[hit]]] = True
+    return np.split(repeated, np.cumsum(size)[:-1])
 
 
 def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,15 +233,16 @@ def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_id, text_key, low, high: runs of starting places of strings of ``length`` bytes that occur elsewhere too.
+    """doc_id, text_key and runs: first and last of starting places of strings of ``length`` bytes that occur elsewhere too.
 
-    ``docs`` has doc_id, text_key and text (not null).
+    ``docs`` has doc_id, text_key and text (not null). Every stretch gets the count of its kind, so as many
+    rows leave that join as there are stretches, whatever repeats.
     """
     found = written(index(docs, length, gram), "stretches")
     kinds = found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "low", "high", "at")).alias("one"))
     kinds = written(kinds, "kinds")
     buckets = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where(F.col("all") > 1)
-    whole = found.join(kinds.where("n > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc_id", "text_key", "low", "high")
+    whole = found.join(kinds.select("anchor", "digest", "n"), ["anchor", "digest"]).select("doc_id", "text_key", F.when(F.col("n") > 1, F.struct("low", "high")).alias("run"))
     rivals = kinds.join(buckets.where("kinds > 1").select("anchor", "kinds"), "anchor").select("anchor", "kinds", "n", "one.*")
     wanted = rivals.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "kinds", "n", "low", "high", "at")).alias("places"))
 
@@ -222,7 +288,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     single = bodies.where(F.col("kinds") > hot).mapInArrow(each, "digest binary, n long, doc_id long, text_key long, low int")
     more = single.groupBy("digest").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("digest")
     hot_ones = single.join(more, "digest", "left_semi").select("doc_id", "text_key", "low", F.col("low").alias("high"))
-    return whole.unionByName(cool).unionByName(hot_ones)
+    sorted_ones = cool.unionByName(hot_ones).select("doc_id", "text_key", F.struct("low", "high").alias("run"))
+    out = written(whole.unionByName(sorted_ones).groupBy("doc_id", "text_key").agg(F.collect_set("run").alias("runs")), "repeats")
+    for done in (found, kinds, bodies):
+        drop_written(done)
+    return out
 
 
 _CUT_NAMES = ["anchor", "kinds", "n", "doc_id", "text_key", "low", "shift", "body"]
@@ -261,22 +331,22 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
-    own = [c for c in docs.columns if c not in (*added, "_text_key", "_runs", "_id")]
-    keyed = text_or_empty(docs.select(*own)).withColumn("_text_key", F.xxhash64("text")).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    runs = repeats(keyed.select(F.col("_id").alias("doc_id"), F.col("_text_key").alias("text_key"), "text"), length, gram, hot)
-    gathered = runs.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("low", "high")).alias("_runs")).withColumnsRenamed({"doc_id": "_id", "text_key": "_text_key"})
-    joined = keyed.join(gathered, ["_id", "_text_key"], "left").select(*own, "_runs")
-    kept = [f for f in docs.schema.fields if f.name in own]
+    kept = [f for f in docs.schema.fields if f.name not in added]
+    row = F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("row")
+    keyed = docs.select(row, F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    gathered = repeats(keyed.select("doc_id", "text_key", "text"), length, gram, hot)
+    joined = keyed.select("row", "doc_id", "text_key").join(gathered, ["doc_id", "text_key"], "left").select(*[F.col("row").getField(f.name).alias(str(i)) for i, f in enumerate(kept)], "runs")
     schema = StructType([*kept, *[StructField(c, LongType()) for c in added[:3]], StructField("kept", BinaryType())])
     names = to_arrow_schema(StructType(kept)).names
+    text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            data = [t.encode() for t in batch.column("text").to_pylist()]
-            out = [_cleaned(d, r, length) for d, r in zip(data, batch.column("_runs").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) if n != "text" else pa.array([o[0].decode("utf-8", "ignore") for o in out], pa.string()) for n in names], pa.array([len(d) for d in data], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())], [*names, *added]
-            )
+        for batch in slices(batches, str(text)):  # columns by number, as any name may be taken
+            data = [(t or "").encode() for t in batch.column(text).to_pylist()]
+            out = [_cleaned(d, r, length) for d, r in zip(data, batch.column(len(names)).to_pylist(), strict=True)]
+            left = pa.array([o[0].decode("utf-8", "ignore") for o in out], pa.string())
+            made = [pa.array([len(d) for d in data], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*[left if i == text else batch.column(i) for i in range(len(names))], *made], [*names, *added])
 
     return joined.mapInArrow(run, schema)
 

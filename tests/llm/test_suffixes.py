@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from foliary.llm import suffixes
@@ -68,3 +69,53 @@ def test_equal_strings_have_equal_anchors(length, gram):
             where.append({i - len(lead): at - i for _, low, high, at in suffixes.stretches(text, length, gram) for i in range(low, high + 1)})
         for i in range(len(core) - length + 1):
             assert where[0][i] == where[1][i]
+
+
+@pytest.mark.parametrize("modulus", [8, 16, 32, 64])
+def test_two_residues_meet_in_the_cover(modulus):
+    cover, step = set(suffixes.difference_cover(modulus)), suffixes.shifts(modulus)
+    for i in range(modulus):
+        for j in range(modulus):
+            assert 0 <= step[i, j] < modulus
+            assert (i + step[i, j]) % modulus in cover and (j + step[i, j]) % modulus in cover
+    assert len(cover) <= 2 * modulus**0.5
+
+
+def test_ranks_of_the_cover_sort_like_the_strings():
+    rng = random.Random(2)
+    data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(700)) + bytes(80), np.uint8)
+    ranks = suffixes.cover_ranks(data, 48, 16)
+    places = [p for p in range(640) if p % 16 in suffixes.difference_cover(16)]
+    for a, b in zip(places, rng.sample(places, len(places)), strict=True):
+        x, y = data[a : a + 48].tobytes(), data[b : b + 48].tobytes()
+        assert (ranks[a] < ranks[b]) == (x < y) and (ranks[a] == ranks[b]) == (x == y)
+
+
+@pytest.mark.parametrize("length,modulus", [(48, 8), (60, 16), (100, 32), (400, 32)])
+def test_sorted_blocks_as_counted(length, modulus):
+    rng = random.Random(length)
+    for _ in range(12):
+        core = bytes(rng.choice(b"ab") for _ in range(3 * length))
+        bodies, places = [], []
+        for _ in range(9):
+            anchor = rng.randint(length, 2 * length - 9)
+            low = max(0, anchor - rng.randint(0, length - 9))
+            body = bytearray(core[low : rng.randint(low, anchor) + length])
+            if rng.random() < 0.5:
+                body[rng.randrange(len(body))] ^= 1
+            bodies.append(bytes(body))
+            places.append(anchor - low)
+        copies = [rng.choice([1, 1, 1, 2]) for _ in bodies]
+        seen = Counter()
+        for body, place, n in zip(bodies, places, copies, strict=True):
+            for i in range(len(body) - length + 1):
+                seen[place - i, body[i : i + length]] += n
+        for body, place, got in zip(bodies, places, suffixes.sort_block(bodies, places, copies, length, modulus), strict=True):
+            assert got.tolist() == [seen[place - i, body[i : i + length]] > 1 for i in range(len(body) - length + 1)]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = documents(spark, [(1, "a" * 900, "s"), (2, "b", "s")]).selectExpr("doc_id", "text", "5 AS _runs", "6 AS _id", "7 AS _text_key", "8 AS runs", "9 AS n_bytes")
+    out = suffixes.cleaned(docs)
+    assert out.columns == ["doc_id", "text", "_runs", "_id", "_text_key", "runs", "n_bytes", "n_removed", "n_spans", "kept"]
+    assert {tuple(r)[2:8] for r in out.collect()} == {(5, 6, 7, 8, 900, 900), (5, 6, 7, 8, 1, 0)}
