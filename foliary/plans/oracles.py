@@ -166,4 +166,15 @@ FROM log LEFT JOIN e ON e.task_id = log.task_id WHERE stop IS NULL OR (ts, seq)
     "task_follow": f"WITH {_LOG} SELECT task_id, arg_min(status, (ts, seq)) AS outcome, arg_min(seq, (ts, seq)) AS seq FROM log WHERE status IN ('completed', 'failed') GROUP BY task_id",
     "file_scan": "SELECT * FROM (VALUES ('nation.parquet', true), ('region.parquet', true)) AS t(name, whole)",
     "blob_scan": """SELECT name, CAST(bytes AS BIGINT) AS bytes, hash, crc FROM (VALUES ('a.txt', 3, md5('abc'), '352441c2'), ('empty.bin', 0, md5(''), '00000000'), ('digits', 9, md5('123456789'), 'cbf43926')) AS t(name, bytes, hash, crc)""",
+    # the pages of the test tables: in the article one heading, paragraphs, and bold beginnings that are never closed
+    "html_markdown": r"""
+WITH p AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+t AS (SELECT page_id, title, regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1) AS head, list_filter(regexp_extract_all(body, '(?s)<p>(?:<b>)?[^<]*'), lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'), chr(10) || chr(9) || ' ') <> '') AS parts FROM p),
+m AS (
+  SELECT page_id, '# ' || trim(title) || chr(10) || chr(10) || '# ' || trim(head) || chr(10) || chr(10)
+         || array_to_string(list_transform(parts, lambda x: CASE WHEN starts_with(x, '<p><b>') THEN '**' ELSE '' END || trim(regexp_replace(x, '<[^>]*>', '', 'g'), chr(10) || chr(9) || ' ')), chr(10) || chr(10))
+         || repeat('**', len(list_filter(parts, lambda x: starts_with(x, '<p><b>')))) AS markdown
+  FROM t
+)
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(markdown, '[ \t\r\f\v]+', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS markdown, CAST(NULL AS VARCHAR) AS error FROM m""",
 }
