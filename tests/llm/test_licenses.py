@@ -14,6 +14,11 @@ CASES = [
     (7, "Released under the MIT License.\nLicensed under the Apache License, Version 2.0.", None),
     (8, "license " * 30000 + "cc by", "s"),
     (9, "édition cc by naïve", "s"),
+    (10, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, and so on", "s"),
+    (11, "of charge to any person obtaining a copy free of charge", "s"),
+    (12, "free software foundation, either version 3; as published by the Free Software Foundation, either version 3 of the License", "s"),
+    (13, " ".join(licenses.TEMPLATES[3].words), "s"),
+    (14, "general general public public license license general public license", "s"),
 ]
 
 
@@ -36,6 +41,9 @@ def test_empty_table(spark):
 def test_keeps_other_columns(spark):
     out = licenses.scan(documents(spark, CASES))
     assert {"doc_id", "source", "size", "score", "n_words", "matches"} <= set(out.columns)
+    named = documents(spark, CASES).selectExpr("doc_id", "text", "'w' AS words", "'h' AS hits", "'r' AS row", "1 AS n_words")
+    got = licenses.scan(named).collect()
+    assert {(r.words, r.hits, r.row) for r in got} == {("w", "h", "r")} and max(r.n_words for r in got) > 30000
 
 
 def test_no_python_in_the_plan(spark):
@@ -43,6 +51,12 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_whole_licences_are_covered(spark):
+    got = {r["doc_id"]: r for r in rows(licenses.report(documents(spark, CASES)))}
+    assert got[13]["labels"] == "mit" and got[13]["score"] == 1 and 0 < got[10]["score"] < 0.7
+    assert got[11]["labels"] == "" and got[12]["labels"] == "gpl" and got[14]["n_base"] == 1
+
+
 @pytest.mark.parametrize("t", licenses.BASE + licenses.TEMPLATES, ids=lambda t: " ".join(t.key))
 def test_key_stands_in_its_template(t):
     assert t.words[t.key_at : t.key_at + len(t.key)] == t.key
