@@ -9,6 +9,10 @@ the weighted sum is scored.
 Every byte of every document is read; nothing but the text is an input. Null
 texts count as empty; an empty text is a bag with one empty passage and has a
 score. Repeated rows get equal scores. Without labelled rows every score is 0.5.
+An empty table gives no rows. scores() replaces a column called score and passes
+all others through; accepted() keeps all columns, whatever their names. Texts are
+described a chunk at a time, so a very long one takes no more memory than its
+passages' features and its distinct words.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ from pyspark.sql import functions as F
 
 from .samples import labelled, remainder
 from .shared import slices, table
-from .shingles import runs_hashed
+from .shingles import BASE, run_key, run_sum, runs_hashed
 
 PASSAGE = 512
+#: Bytes that are described at once.
+CHUNK = PASSAGE << 10
 HIDDEN, GATE = 32, 16
 #: Bounds of the sample that the model is fitted on.
 MAX_ROWS, MAX_BYTES = 5000, 12 << 20
@@ -84,6 +90,75 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def _word_sum(data: np.ndarray, ahead: int) -> int:
+    """The part of a word's hash that comes from bytes ``ahead`` of its beginning."""
+    return int(run_sum(data)) * pow(BASE, ahead, 1 << 64) % (1 << 64)
+
+
+def describe_long(text: bytes, chunk: int = CHUNK) -> np.ndarray:
+    """The features of one text's passages as of :func:`describe`, from chunks of so many bytes (a multiple of a passage)."""
+    data = np.frombuffer(text, np.uint8)
+    total = -(-len(data) // PASSAGE)
+    out, words, again = np.zeros((total, FEATURES), np.float32), np.zeros(total), np.zeros(total)
+    seen = np.zeros(0, np.uint64)
+    open_word = None  # passage of its beginning, sum and length of a word that goes on from the chunk before
+    for start in range(0, len(data), chunk):
+        part = data[start : start + chunk]
+        kind, last = CLASSES[part], start + chunk >= len(data)
+        behind = 3 if last else int(CLASSES[data[start + chunk]])
+        at = np.arange(len(part)) // PASSAGE
+        n, base = int(at[-1]) + 1, start // PASSAGE
+        length = np.bincount(at, minlength=n)
+        counts = np.bincount(at * (KINDS * KINDS) + kind * KINDS + np.append(kind[1:], behind), minlength=n * KINDS * KINDS).reshape(n, -1)
+        out[base : base + n, :-3] = np.sqrt(counts / length[:, None])
+        out[base : base + n, -2] = np.minimum(1, length / PASSAGE)
+        inside = (kind != 3) & (kind != 4)
+        goes_on = bool(inside[-1]) and behind not in (3, 4)
+        edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+        begins, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        keys, places = [], []
+        if open_word is not None and len(begins) and begins[0] == 0:
+            passage, value, size = open_word
+            open_word = (passage, (value + _word_sum(part[: stops[0]], size)) % (1 << 64), size + int(stops[0]))
+            if not (goes_on and len(begins) == 1):
+                keys.append(np.array([run_key(open_word[1], open_word[2])], np.uint64))
+                places.append(np.array([passage]))
+                open_word = None
+            begins, stops = begins[1:], stops[1:]
+        if goes_on and len(begins):
+            open_word = (base + int(at[begins[-1]]), _word_sum(part[begins[-1] :], 0), len(part) - int(begins[-1]))
+            begins, stops = begins[:-1], stops[:-1]
+        keys.append(runs_hashed(part, begins, stops))
+        places.append(base + at[begins])
+        key, place = np.concatenate(keys), np.concatenate(places).astype(np.int64)
+        fresh = np.zeros(len(key), bool)
+        fresh[np.unique(key, return_index=True)[1]] = True
+        fresh &= ~np.isin(key, seen)
+        seen = np.union1d(seen, key)
+        words += np.bincount(place, minlength=total)
+        again += np.bincount(place, weights=~fresh, minlength=total)
+    out[:, -3] = again / np.maximum(1, words)
+    out[:, -1] = np.log1p(len(data)) / 12
+    return out
+
+
+def described(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`describe` in memory that is bounded by a chunk and the features, however long a text is."""
+    parts, bags, held = [], [0], []
+    for text in [*texts, None]:
+        if held and (text is None or len(text) > CHUNK or sum(map(len, held)) + len(text) > CHUNK):
+            x, first = describe(held)
+            parts.append(x)
+            bags.extend(np.diff(first).tolist())
+            held = []
+        if text is not None and len(text) > CHUNK:
+            parts.append(describe_long(text))
+            bags.append(len(parts[-1]))
+        elif text is not None:
+            held.append(text)
+    return np.concatenate(parts) if parts else np.zeros((0, FEATURES), np.float32), np.cumsum(bags)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -108,7 +183,7 @@ class Model:
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not self.weights:
             return np.full(len(texts), 0.5)
-        return self.forward(*describe(texts))["score"]
+        return self.forward(*described(texts))["score"]
 
 
 def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, steps: int = 1200, rate: float = 4e-3, decay: float = 1e-4, seed: int = 6) -> Model:
@@ -155,8 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
     sample = labelled(docs, labels, label, remainder(F.col("doc_id"), modulus) != held_out, max_rows, max_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            x, first = describe([t.encode() for t in batch.column("text").to_pylist()])
+        for batch in slices(batches, "text", CHUNK):
+            x, first = described([t.encode() for t in batch.column("text").to_pylist()])
             packed = [x[a:b].astype("<f4").tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "label", "bag"])
 
@@ -175,7 +250,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     names = to_arrow_schema(schema).names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", CHUNK):
             out = model.score([(t or "").encode() for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(out, pa.float64())], [*names, "score"])
 
@@ -184,9 +259,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns."""
-    kept = docs.columns
-    scored = scores(docs.withColumnRenamed("score", "_score") if "score" in kept else docs, model).where(F.col("score") >= threshold).drop("score")
-    return scored.select(*[F.col("_score").alias(c) if c == "score" else F.col(c) for c in kept])
+    inside = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+    return scores(inside, model).where(F.col("score") >= threshold).select("row.*")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -15,18 +15,20 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, max
     """At most ``max_rows`` distinct labelled texts of at most ``max_bytes`` in all: doc_id, text, label.
 
     ``usable`` says by doc_id which rows may be learned from. Rows come in the order of a hash of
-    doc_id, so the sample is the same in each run. Of repeated doc_ids the larger label holds.
+    doc_id, so the sample is the same in each run; a text that would go beyond ``max_bytes`` is passed
+    over, so the sample holds fewer very long texts than the corpus. Of repeated doc_ids the larger
+    label and the shortest text hold.
     """
     rows = labels.where(usable & F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    first = rows.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(max_rows)
+    first = rows.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(first), "doc_id")  # bounded by max_rows
-    sizes = joined.select("doc_id", "_order", "label", F.octet_length("text").alias("size")).collect()
+    sized = texts.select("doc_id", F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("key")).alias("of"))
+    joined = sized.join(F.broadcast(first), "doc_id")  # bounded by max_rows
+    sizes = joined.groupBy("doc_id", "order", "label").agg(F.min("of").alias("of")).collect()  # one row a doc_id
     taken, total = [], 0
-    for r in sorted(sizes, key=lambda r: (r["_order"], r["doc_id"], r["size"])):
-        if total + r["size"] <= max_bytes:
-            total += r["size"]
-            taken.append((r["doc_id"], r["label"]))
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame(sorted(set(taken)), "doc_id long, label int") if taken else spark.createDataFrame([], "doc_id long, label int")
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"])
+    for r in sorted(sizes, key=lambda r: (r["order"], r["doc_id"])):
+        if total + r["of"]["size"] <= max_bytes:
+            total += r["of"]["size"]
+            taken.append((r["doc_id"], r["label"], r["of"]["key"]))
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long, label int, key long")
+    return texts.withColumn("key", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "key"]).select("doc_id", "text", "label").dropDuplicates(["text"])

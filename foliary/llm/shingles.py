@@ -10,7 +10,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15 | 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -20,7 +20,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         out[0] = 1
         return np.cumprod(out, dtype=np.uint64)
 
-    return of(_BASE), of(pow(_BASE, -1, 1 << 64))
+    return of(BASE), of(pow(BASE, -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,11 +32,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def runs_hashed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each run, from prefix sums."""
-    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
     sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
 
 
+def run_sum(data: np.ndarray) -> np.uint64:
+    """What the bytes of a run that begins with them add to its hash."""
+    up, _ = _powers(1 << max(16, int(len(data)).bit_length()))
+    return ((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]).sum(dtype=np.uint64)
+
+
+def run_key(total: int, length: int) -> int:
+    """The hash of :func:`runs_hashed` for a run whose sum is known."""
+    return int(mix(np.array([(total + length) % (1 << 64)], np.uint64))[0])
+
+
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs without white space, A to Z lowered), and where each text's words begin (and, last, end)."""
     data = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
@@ -55,7 +66,7 @@ def sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     hashes, first = words(texts)
     joined = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
     for k in range(width):
-        joined = mix(joined * np.uint64(_BASE) + hashes[k : k + len(joined)])
+        joined = mix(joined * np.uint64(BASE) + hashes[k : k + len(joined)])
     out = []
     for a, b in zip(first, first[1:], strict=False):
         if b - a >= width:
@@ -63,7 +74,7 @@ def sets(texts: list[bytes], width: int) -> list[np.ndarray]:
         elif b > a:
             whole = np.full(1, b - a, np.uint64)
             for h in hashes[a:b]:
-                whole = mix(whole * np.uint64(_BASE) + h)
+                whole = mix(whole * np.uint64(BASE) + h)
             out.append(whole)
         else:
             out.append(np.zeros(0, np.uint64))

@@ -102,3 +102,80 @@ def test_matches_as_brute_force(text):
 
 def test_folding():
     assert {toxicity.fold(x) for x in ("loser", "L0SER", "lоsеr", "1o5er", "ｌｏｓｅｒ", "lo​ser")} == {"ioser"}
+
+
+def plain_features(text):
+    """Features of one text by loops over its bytes and words."""
+    kinds, size = [int(quality.CLASSES[b]) for b in text], quality.PASSAGE
+    words, at = [], 0  # beginning and bytes of each run of neither blank nor line feed
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] not in b" \n":
+            end += 1
+        if end > at:
+            words.append((at, text[at:end]))
+        at = end + 1
+    out = []
+    for first in range(0, max(1, len(text)), size):
+        row = np.zeros(quality.FEATURES)
+        part = kinds[first : first + size]
+        for k, kind in enumerate(part):
+            behind = kinds[first + k + 1] if first + k + 1 < len(text) else 3
+            row[kind * quality.KINDS + behind] += 1
+        row = np.sqrt(row / max(1, len(part)))
+        own = [(k, w) for k, (b, w) in enumerate(words) if first <= b < first + size]
+        row[-3] = sum(w in {x for _, x in words[:k]} for k, w in own) / max(1, len(own))
+        row[-2] = min(1, len(part) / size)
+        row[-1] = np.log1p(len(text)) / 12
+        out.append(row)
+    return np.array(out)
+
+
+TEXTS = [b"", b"one", b"a b a b", ("Some words, 12 & more: " * 90).encode(), ("\u4e00\u4e8c" * 900 + " x \u4e00\u4e8c").encode(), b"\n\n  \n", b"w" * 3000 + b" " + b"w" * 3000 + b" z"]
+
+
+def test_features_as_by_loops():
+    x, first = quality.describe(TEXTS)
+    for text, a, b in zip(TEXTS, first, first[1:], strict=False):
+        np.testing.assert_allclose(x[a:b], plain_features(text), atol=1e-6)
+
+
+@pytest.mark.parametrize("chunk", [512, 1024, 4096])
+def test_long_texts_are_described_in_chunks(chunk):
+    for text in TEXTS[1:]:
+        np.testing.assert_allclose(quality.describe_long(text, chunk), plain_features(text), atol=1e-6)
+
+
+def test_texts_beyond_a_chunk(monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK", 1024)
+    x, first = quality.described(TEXTS)
+    y, same = quality.describe(TEXTS)
+    assert (first == same).all()
+    np.testing.assert_allclose(x, y, atol=1e-6)
+
+
+def test_attention_as_by_loops():
+    rng = np.random.default_rng(3)
+    shape = {"w": (quality.FEATURES, 5), "b": (5,), "v": (5, 4), "u": (5, 4), "a": (4,), "c": (5,), "d": ()}
+    m = {k: rng.normal(0, 1, s) for k, s in shape.items()}
+    x, first = quality.describe(TEXTS)
+    got = quality.Model(m).forward(x, first)["score"]
+    for i, (a, b) in enumerate(zip(first, first[1:], strict=False)):
+        h = [np.tanh(row @ m["w"] + m["b"]) for row in x[a:b]]
+        e = [np.exp(sum(np.tanh(z @ m["v"][:, k]) / (1 + np.exp(-(z @ m["u"][:, k]))) * m["a"][k] for k in range(4))) for z in h]
+        pooled = sum(w * z for w, z in zip(e, h, strict=True)) / sum(e)
+        assert abs(got[i] - 1 / (1 + np.exp(-(pooled @ m["c"] + m["d"])))) < 1e-9
+
+
+def test_accepted_keeps_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, AWKWARD).withColumn("_score", F.lit(5)).withColumn("row", F.lit("r"))
+    out = quality.accepted(docs, quality.Model({}))
+    assert out.columns == docs.columns and {(r._score, r.score, r.row) for r in out.collect()} == {(5, "y", "r")}
+
+
+def test_neighbours_of_a_word():
+    far = "x" * 100
+    assert toxicity.neighbours(f"{far} word after", 101) == ["word after", f"{far} word"]
+    assert toxicity.neighbours("a, word", 3) == [] and toxicity.neighbours("word", 0) == []
