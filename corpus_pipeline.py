@@ -4,6 +4,16 @@ quality (documents that the classifier rejects go), near duplicates (one
 document of each class stays), repeated passages (bytes of long repeated strings
 go), mixing (documents are emitted as often as the source's target asks for), and
 tokens (ids of the encoded text and the bytes that they decode to).
+
+Rows are what every stage works on. Quality scores each row alone; a null or
+empty text has a score like any other. Near duplicates: equal rows become one,
+a doc_id may stand on several texts, and rows without words or without a doc_id
+stay. Repeated passages: equal rows are documents of their own, and rows without
+text stay. Mixing: rows that agree in doc_id, source and size share their copies;
+null sources are one source; rows without words go, as nothing of them is wanted.
+Tokens: null texts have none. Stages return the columns of documents only, so
+other columns, whatever their names, end at the first stage. Empty tables give
+empty results.
 """
 
 from __future__ import annotations
@@ -12,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.llm import bpe, jaccard, mixing, quality, suffixes
-from foliary.llm.shared import table, written
+from foliary.llm.shared import drop_written, table, written
 
 #: Columns of documents, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,10 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage has written goes when the next one has read it."""
     docs = table(spark, sf_dir, "documents")
     for at, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if at + 1 < len(STAGES):
             docs = written(docs, name)
+            drop_written(before)
     return docs

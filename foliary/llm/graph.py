@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import drop_written, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,18 +28,27 @@ def components(links: DataFrame) -> DataFrame:
             jumped = hooks.join(onward, "b", "left")
             if jumped.where("c IS NOT NULL").isEmpty():
                 break
-            hooks = written(jumped.select("a", F.coalesce("c", "b").alias("b")), "hooks")
+            hooks = _instead(hooks, jumped.select("a", F.coalesce("c", "b").alias("b")), "hooks")
         step = hooks.select(F.col("a").alias("id"), F.col("b").alias("component"))
         if total is None:
-            total = step
+            total = written(step, "components")
         else:
             renamed = total.join(step.select(F.col("id").alias("component"), F.col("component").alias("next")), "component", "left")
             known = renamed.select("id", F.coalesce("next", "component").alias("component"))
-            total = written(known.unionByName(step.join(total, "id", "left_anti")), "components")
-        edges = written(_oriented(_renamed(_renamed(edges, hooks, "a"), hooks, "b")), "edges")
+            total = _instead(total, known.unionByName(step.join(total, "id", "left_anti")), "components")
+        edges = _instead(edges, _oriented(_renamed(_renamed(edges, hooks, "a"), hooks, "b")), "edges")
+        drop_written(hooks)
+    drop_written(edges)
     return total if total is not None else spark.createDataFrame([], "id long, component long")
 
 
+def _instead(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new`` written, and the files of ``old``, from which it was made, deleted."""
+    out = written(new, name)
+    drop_written(old)
+    return out
+
+
 def _renamed(edges: DataFrame, hooks: DataFrame, end: str) -> DataFrame:
     to = hooks.select(F.col("a").alias(end), F.col("b").alias("_to"))
     other = "b" if end == "a" else "a"

@@ -17,7 +17,8 @@ linked pair shares, and Voronoi cells divide those further:
 4. Inside cells points are compared as folded sets (counts of elements in hash
    bins). Their Jaccard distance (sum of minima over sum of maxima) is a metric
    as well and never above that of the sets. A cell with more than ``CELL``
-   points is divided by up to ``PIVOTS`` pivots: every point goes to its nearest
+   points is cut into classes of size that overlap, so that all of a class are
+   folded alike, and divided by up to ``PIVOTS`` pivots: every point goes to its nearest
    pivot and, if its distance to another pivot is within twice the distance of a
    link of that, to that cell also (triangle inequality), so each linked pair
    meets where one of them is at home. Cells are divided again until they are
@@ -55,17 +56,17 @@ from .graph import components
 from .shared import drop_written, runs, slices, table, written
 from .shingles import mix, sets
 
-BATCH = 1 << 21
+BATCH = 1 << 19
 #: Parts beyond those that a pair needs to agree in one; so many empty parts give no key.
 SPARE = 2
 #: Per cent of a set that its prefix has beyond the shortest one that shows a link.
 EXTRA = 5
-#: Entries (key, id) that a task holds before it deals them out.
-DEALT = 1 << 21
+#: Entries (key, id) that a task holds at least before it deals them out.
+DEALT = 1 << 19
 #: Points of a cell that are compared at once, pivots that divide a larger one, points and elements of a block.
 CELL, PIVOTS, BLOCK, ELEMENTS = 256, 16, 1024, 1 << 22
-#: Rows that meet the pivots of one cell in a task.
-MET = 4096
+#: Rows that meet the pivots of one cell in a task, rows that may come from one there, and the least number of bins of a folded set.
+MET, COPIES, LEAST = 4096, 3, 32
 
 
 @functools.lru_cache(maxsize=None)
@@ -129,11 +130,16 @@ def least_shared(n: Column, percent: int) -> Column:
     return F.floor((need * EXTRA + 99) / 100)
 
 
+def bins(n: np.ndarray) -> np.ndarray:
+    """Number of bins, a power of two, of the folded set of n elements; it never falls, and twice as many elements have twice the bins at most."""
+    bits = np.frexp(np.maximum(n, 2) - 1)[1]
+    return 1 << np.maximum(LEAST.bit_length() - 1, np.maximum(np.minimum(bits - 2, 8), bits - 3)).astype(np.int64)
+
+
 def folded(one: np.ndarray) -> np.ndarray:
-    """Counts of the elements by their leading bits; twice as many elements have one bit more at most."""
-    bits = max(1, len(one) - 1).bit_length()
-    bits = max(5, min(bits - 2, 8), bits - 3)
-    counts = np.bincount((one >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    """Counts of the elements by their leading bits."""
+    width = int(bins(np.array(len(one))))
+    counts = np.bincount((one >> np.uint64(65 - width.bit_length())).astype(np.int64), minlength=width)
     if counts.max(initial=0) > 65535:
         raise ValueError("hashes of shingles are not spread")
     return counts.astype(np.uint16)
@@ -176,9 +182,9 @@ class Forest:
 def near_folded(sizes: np.ndarray, data: list[bytes], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs whose folded sets are near enough for a link; only pairs of two sides if there are two."""
     forest, two = Forest(len(sizes)), side.any()
-    bits = np.array([len(d) // 2 for d in data])
-    for width in np.unique(bits):
-        low, high = np.flatnonzero(bits == width), np.flatnonzero(bits == 2 * width)
+    widths, own = np.array([len(d) // 2 for d in data]), bins(sizes)
+    for width in np.unique(widths):
+        low, high = np.flatnonzero(widths == width), np.flatnonzero(widths == 2 * width)
         rows = np.frombuffer(b"".join(data[i] for i in low), np.uint16).reshape(len(low), width)
         if len(high):
             more = np.frombuffer(b"".join(data[i] for i in high), np.uint16).reshape(len(high), 2 * width)
@@ -187,8 +193,10 @@ def near_folded(sizes: np.ndarray, data: list[bytes], side: np.ndarray, percent:
         order = np.argsort(sizes[who], kind="stable")
         who, rows = who[order], rows[order]
         n = sizes[who]
-        for a in range(0, len(who), 32):
-            b = min(a + 32, len(who))
+        # those of more bins, which are larger, are guests here and meet each other in their own class
+        home = int((own[who] <= width).sum())
+        for a in range(0, home, 32):
+            b = min(a + 32, home)
             end = int(np.searchsorted(n, 100 * n[b - 1] // percent, side="right"))
             common = _minima(rows[a:b], rows[a:end])
             union = n[a:b, None] + n[None, a:end] - common
@@ -315,7 +323,8 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     The entries are dealt to buckets of keys in packed form, 14 bytes each. Rows may repeat.
     """
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
+    buckets = parts * max(1, min(4, 8192 // parts))
+    most = max(DEALT, 4 * buckets)  # some entries for each bucket
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[bytes] = []
@@ -326,7 +335,7 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
                 keys.append(k)
                 ids.append(np.full(len(k) // 8, i, np.int64))
                 held += len(k) // 8
-                if held >= DEALT:
+                if held >= most:
                     yield from _dealt(np.frombuffer(b"".join(keys), np.uint64), np.concatenate(ids), buckets)
                     keys, ids, held = [], [], 0
         if held:
@@ -381,20 +390,43 @@ def _sets_of(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, n long, items binary")
 
 
-def _derived(items: DataFrame, make: Callable[[list[np.ndarray]], list[np.ndarray]], name: str) -> DataFrame:
+def _parts(items: DataFrame, percent: int) -> DataFrame:
+    """id and packed keys of the parts of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "items", BATCH):
+            made = part_keys([np.frombuffer(s, np.uint64) for s in batch.column("items").to_pylist()], percent)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([m.tobytes() for m in made], pa.binary())], ["id", "keys"])
+
+    return items.mapInArrow(run, "id long, keys binary")
+
+
+def _folds(items: DataFrame) -> DataFrame:
+    """id, n, fold and data: each set folded to its own number of bins, and to half as many, at which it meets the next smaller class."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "items", BATCH):
-            made = make([np.frombuffer(s, np.uint64) for s in batch.column("items").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array([m.tobytes() for m in made], pa.binary())], ["id", "n", name])
+            own = [folded(np.frombuffer(s, np.uint64)) for s in batch.column("items").to_pylist()]
+            half = [_fewer(f[None, :])[0] if len(f) > LEAST else None for f in own]
+            for made in (own, half):
+                at = [i for i, f in enumerate(made) if f is not None]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(at, pa.int64())), batch.column("n").take(pa.array(at, pa.int64())), pa.array([len(made[i]) for i in at], pa.int32()), pa.array([made[i].tobytes() for i in at], pa.binary())],
+                    ["id", "n", "fold", "data"],
+                )
 
-    return items.mapInArrow(run, f"id long, n long, {name} binary")
+    return items.mapInArrow(run, "id long, n long, fold int, data binary")
 
 
 Solve = Callable[[np.ndarray, list[bytes], np.ndarray, int], list[tuple[int, int]]]
 
 
+def _key(data: DataFrame) -> list[str]:
+    return [c for c in ("id", "fold") if c in data.columns]
+
+
 def _solved(rows: DataFrame, data: DataFrame, solve: Solve, percent: int) -> DataFrame:
-    """a, b: links inside each group; rows have group, id and side, data id, n and data."""
+    """a, b: links inside each group; rows have group, id and side, data id, n and data (and both fold, if one has)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -412,28 +444,32 @@ def _solved(rows: DataFrame, data: DataFrame, solve: Solve, percent: int) -> Dat
         found = solve(np.array(n, np.int64), list(packed), np.array(side, np.int64), percent)
         return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
 
-    both = rows.select("group", "id", "side").join(data, "id").select("group", "id", "side", "n", "data")
+    of = _key(data)
+    both = rows.select("group", "side", *of).join(data, of).select("group", "id", "side", "n", "data")
     return both.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long")
 
 
 def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
     """Every pair of blocks of each cell as a group of two sides; a block with itself as one of one side."""
     own = F.pmod(F.xxhash64("id", F.lit(7)), blocks)
-    dealt = rows.select("cell", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    return dealt.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("group"), "id", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    of = _key(rows)
+    dealt = rows.select("cell", *of, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    return dealt.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("group"), *of, (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
 def _pivots(rows: DataFrame, level: int) -> DataFrame:
     """Up to ``PIVOTS`` members of each cell, by hash: one of each part that has any."""
     part = F.pmod(F.xxhash64("id", F.lit(-level)), F.lit(PIVOTS))
-    return rows.groupBy("cell", part.alias("part")).agg(F.min(F.struct(F.xxhash64("id", F.lit(level)), "id"))["id"].alias("id"), F.first("m").alias("m")).drop("part")
+    drawn = F.min(F.struct(F.xxhash64("id", F.lit(level)).alias("draw"), *_key(rows), "m")).alias("p")
+    return rows.groupBy("cell", part.alias("part")).agg(drawn).select("cell", "p.*").drop("draw")
 
 
 def _met(rows: DataFrame, pivots: DataFrame, data: DataFrame, judge: Callable, schema: str) -> DataFrame:
     """What ``judge`` makes of the members of each cell (size m) and its pivots, which come to every share of a large cell."""
     shares = F.ceil(F.col("m") / MET).cast("int")
-    members = rows.select("cell", F.pmod(F.xxhash64("id"), shares).cast("int").alias("share"), F.lit(1).alias("kind"), "id")
-    first = pivots.select("cell", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"), F.lit(0).alias("kind"), "id")
+    of = _key(data)
+    members = rows.select("cell", F.pmod(F.xxhash64("id"), shares).cast("int").alias("share"), F.lit(1).alias("kind"), *of)
+    first = pivots.select("cell", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"), F.lit(0).alias("kind"), *of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -445,39 +481,35 @@ def _met(rows: DataFrame, pivots: DataFrame, data: DataFrame, judge: Callable, s
                 held = [*(held if now == (cell, share) else []), *one]
                 now = (cell, share)
 
-    both = members.unionByName(first).join(data, "id").select("cell", "share", "kind", "id", "n", "data")
+    both = members.unionByName(first).join(data, of).select("cell", "share", "kind", "id", "n", "data")
     return both.repartition("cell", "share").sortWithinPartitions("cell", "share", "kind", "id").mapInArrow(run, schema)
 
 
 def _folded_distances(members: list[tuple], pivots: list[tuple]) -> np.ndarray:
-    """Jaccard distances of folded sets, each pair at the smaller width of the two."""
-    out = np.empty((len(members), len(pivots)))
-    wide = np.array([len(d) // 2 for _, _, d in members])
-    n = np.array([x for _, x, _ in members], np.int64)
-    for j, (_, size, packed) in enumerate(pivots):
-        pivot = np.frombuffer(packed, np.uint16)[None, :]
-        for width in np.unique(wide):
-            at = np.flatnonzero(wide == width)
-            rows, other = np.frombuffer(b"".join(members[i][2] for i in at), np.uint16).reshape(len(at), width), pivot
-            while rows.shape[1] > other.shape[1]:
-                rows = _fewer(rows)
-            while other.shape[1] > rows.shape[1]:
-                other = _fewer(other)
-            common = _minima(rows, other)[:, 0]
-            out[at, j] = 1 - common / (n[at] + size - common)
-    return out
+    """Jaccard distances of sets that are folded to one number of bins; only then they are one metric."""
+    rows, others = (np.stack([np.frombuffer(d, np.uint16) for _, _, d in some]) for some in (members, pivots))
+    n, size = (np.array([x for _, x, _ in some], np.int64) for some in (members, pivots))
+    common = _minima(rows, others)
+    return 1 - common / (n[:, None] + size[None, :] - common)
 
 
 def voronoi(percent: int) -> Callable:
-    """The cells of a cell's members: that of the nearest pivot, and all others in the window of a link."""
+    """The cells of a cell's members: that of the nearest pivot, and all others in the window of a link.
+
+    Where the windows hold so many cells that more than ``COPIES`` rows would come from a member, dividing
+    is no use, and one row without an id says so.
+    """
 
     def judge(cell: int, pivots: list[tuple], members: list[tuple]) -> pa.RecordBatch:
         distance = _folded_distances(members, pivots)
         window = distance <= distance.min(1, keepdims=True) + 2 * (100 - percent) / 100 + 1e-9
+        if window.sum() > COPIES * len(members):
+            return pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), pa.array([cell], pa.int64()), pa.array([None], pa.int64()), pa.array([0], pa.int32())], ["parent", "cell", "id", "fold"])
         at, to = np.nonzero(window)
         ids, names = np.array([m[0] for m in members], np.int64), np.array([p[0] for p in pivots], np.int64)
         cells = mix(np.full(len(to), cell, np.int64).view(np.uint64) * np.uint64(3) + mix(names[to].view(np.uint64))).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(to), cell, np.int64)), pa.array(cells), pa.array(ids[at])], ["parent", "cell", "id"])
+        fold = np.full(len(to), len(members[0][2]) // 2, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(to), cell, np.int64)), pa.array(cells), pa.array(ids[at]), pa.array(fold)], ["parent", "cell", "id", "fold"])
 
     return judge
 
@@ -500,26 +532,37 @@ def star(percent: int) -> Callable:
 
 
 def _candidates(cells: DataFrame, folds: DataFrame, percent: int) -> list[DataFrame]:
-    """a, b: chains of points in a common cell (cell, id) whose folded sets are near enough for a link."""
+    """a, b: chains of points in a common cell (cell, id) whose folded sets are near enough for a link.
+
+    Distances of different foldings are no common metric. A large cell is therefore cut by the number of
+    bins first; each point is in the class of its own number and, folded once more, in the next smaller one.
+    """
     found: list[DataFrame] = []
-    todo, level = cells, 0
-    whole = [F.col("cell").alias("group"), "id", F.lit(0).alias("side")]
+    own = folds.groupBy("id").agg(F.max("fold").alias("fold"))
+    todo, level = cells.join(own, "id"), 0
+    whole = [F.col("cell").alias("group"), "id", "fold", F.lit(0).alias("side")]
     while True:
-        level += 1
         sized = written(todo.join(todo.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "cell"), "sized")
         found.append(written(_solved(sized.where(F.col("m") <= CELL).select(*whole), folds, near_folded, percent), "candidates"))
         large = sized.where(F.col("m") > CELL)
         if large.isEmpty():
             drop_written(sized)
             return found
-        parted = written(_met(large, _pivots(large, level), folds, voronoi(percent), "parent long, cell long, id long"), "parted")
-        work = parted.groupBy("parent", "cell").agg(F.count("*").alias("c")).groupBy("parent").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("work"))
-        # a division that does not halve the pairs, or copies its rows too often, is no use
-        helped = work.join(large.groupBy(F.col("cell").alias("parent")).agg(F.first("m").alias("m")), "parent").where("2 * work <= m * m AND rows <= 4 * m").select("parent")
+        level += 1
+        if level == 1:
+            both = F.when(F.col("fold") > LEAST, F.array(F.col("fold"), (F.col("fold") / 2).cast("int"))).otherwise(F.array("fold"))
+            classed = large.select("cell", "id", F.explode(both).alias("fold"))
+            todo = written(classed.select(F.xxhash64("cell", "fold").alias("cell"), "id", "fold"), "cells")
+            drop_written(sized)
+            continue
+        parted = written(_met(large, _pivots(large, level), folds, voronoi(percent), "parent long, cell long, id long, fold int"), "parted")
+        work = parted.groupBy("parent", "cell").agg(F.count("id").alias("c"), F.min(F.col("id").isNotNull()).alias("ok")).groupBy("parent").agg(F.sum(F.col("c") * F.col("c")).alias("work"), F.min("ok").alias("ok"))
+        # a division that does not halve the pairs is no use either
+        helped = work.join(large.groupBy(F.col("cell").alias("parent")).agg(F.first("m").alias("m")), "parent").where("ok AND 2 * work <= m * m").select("parent")
         helped = written(helped, "helped")
         even = large.join(helped.select(F.col("parent").alias("cell")), "cell", "left_anti")
         found.append(written(_solved(_in_blocks(even, F.ceil(F.col("m") / BLOCK).cast("int")), folds, near_folded, percent), "candidates"))
-        todo = written(parted.join(helped, "parent", "left_semi").select("cell", "id"), "cells")
+        todo = written(parted.join(helped, "parent", "left_semi").select("cell", "id", "fold"), "cells")
         for done in (sized, parted, helped):
             drop_written(done)
 
@@ -560,6 +603,8 @@ def _points(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
 
     A point (set_key, id) is one set; x and text_key name the first row that has it.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("from 50 to 100 %")
     known = written(_known(docs, width), "sets")
     named = known.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n_shingles").alias("n"))
     # ids are fixed by writing them; doc_id is none, as it may stand on several sets
@@ -570,10 +615,10 @@ def _points(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     wanted = wanted.select(F.col("x").alias("doc_id"), "text_key", "id")
     texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(wanted, ["doc_id", "text_key"])
     items = written(_sets_of(texts, width).dropDuplicates(["id"]), "items")
-    regions = written(shared_keys(_derived(items, lambda many: part_keys(many, percent), "keys")), "regions")
+    regions = written(shared_keys(_parts(items, percent)), "regions")
     pivots = regions.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("cell"))
     cells = written(regions.join(pivots, "key").select("cell", "id").distinct(), "cells")
-    folds = written(_derived(items, lambda many: [folded(m) for m in many], "data"), "folded")
+    folds = written(_folds(items), "folded")
     near = _candidates(cells, folds, percent)
     groups = written(components(_union(near)).withColumnRenamed("component", "cell"), "groups")
     # components() names no id that is its own component

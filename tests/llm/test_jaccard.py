@@ -212,8 +212,11 @@ def test_windows_keep_linked_pairs_together():
     rng = np.random.default_rng(4)
     base = [rng.integers(0, 1 << 63, 120).astype(np.uint64) for _ in range(4)]
     pool = [np.unique(np.concatenate([b[rng.integers(0, 20) :], rng.integers(0, 1 << 63, rng.integers(1, 20)).astype(np.uint64)])) for b in base for _ in range(12)]
+    pool = [s for s in pool if len(jaccard.folded(s)) == 32]
     rows_ = [(i, len(s), jaccard.folded(s).tobytes()) for i, s in enumerate(pool)]
-    made = jaccard.voronoi(90)(5, rows_[:6], rows_).to_pylist()
+    useless = jaccard.voronoi(90)(5, rows_[:6], rows_).to_pylist()  # all pivots near each other
+    assert [r["id"] for r in useless] == [None]
+    made = jaccard.voronoi(90)(5, rows_[::9], rows_).to_pylist()
     cells = {}
     for r in made:
         cells.setdefault(r["id"], set()).add(r["cell"])
@@ -221,13 +224,41 @@ def test_windows_keep_linked_pairs_together():
         assert cells[a] & cells[b]
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_candidates_across_classes_of_size(spark, monkeypatch, percent):
+    """Around 128 and 256 elements sets change their number of bins; no linked pair may get lost in a large cell."""
+    monkeypatch.setattr(jaccard, "CELL", 8)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 9)
+    rng = np.random.default_rng(percent)
+    pool = []
+    for size in (128, 256):
+        common = rng.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2)
+        for _ in range(60):
+            gone = rng.permutation(size)[: rng.integers(0, size * (100 - percent) // 120)]
+            more = rng.integers(0, 1 << 63, rng.integers(0, size * (100 - percent) // 120)).astype(np.uint64) * np.uint64(2)
+            pool.append(np.unique(np.concatenate([np.delete(common, gone), more])))
+    items = spark.createDataFrame([(i, len(s), s.tobytes()) for i, s in enumerate(pool)], "id long, n long, items binary")
+    cells = spark.createDataFrame([(1, i) for i in range(len(pool))], "cell long, id long")
+    found = jaccard._union(jaccard._candidates(cells, jaccard.written(jaccard._folds(items), "folded"), percent))
+    part = {r.id: r.component for r in components(found).collect()}
+    links = 0
+    for a in range(len(pool)):
+        for b in range(a):
+            common = len(np.intersect1d(pool[a], pool[b]))
+            if 100 * common >= percent * (len(pool[a]) + len(pool[b]) - common):
+                links += 1
+                assert part.get(a, a) == part.get(b, b)
+    assert links > 50
+
+
 def test_keys_that_two_ids_hold(spark):
     rng = random.Random(8)
-    held = [(i, [rng.randrange(300) << 40 | 7 for _ in range(rng.randint(0, 9))] + [5] * (i % 2)) for i in range(200)]
+    held = [(i, [rng.randrange(250) << 40 | 7 for _ in range(rng.randint(0, 9))] + [5] * (i % 2)) for i in range(200)]
     df = spark.createDataFrame([(i, np.array(k, np.uint64).tobytes()) for i, k in held], "id long, keys binary").repartition(3)
     who = {}
     for i, keys in held:
         for k in keys:
-            who.setdefault(k & ((1 << 48) - 1), set()).add(i)
+            who.setdefault(k, set()).add(i)
     got = {(r.key, r.id) for r in jaccard.shared_keys(df).collect()}
     assert got == {(k, i) for k, ids in who.items() if len(ids) > 1 for i in ids}

@@ -118,3 +118,20 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert docs.columns == list(corpus_pipeline.COLUMNS), name
         assert docs.count() == 0
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_awkward_rows(spark, tmp_path):
+    """Null and repeated ids, equal rows, long and blank texts, other columns; one source, so that every row is taken once."""
+    rng = random.Random(4)
+    draw = lambda n: " ".join(rng.choice("aeiou") + str(rng.randrange(10**6)) for _ in range(n))
+    first, second, long = draw(80), draw(80), draw(30000)
+    made = [(1, first), (1, second), (2, first + " z"), (3, long), (4, ""), (5, None), (6, " \n"), (None, draw(9)), (7, "one"), (7, "one"), (8, "ONE")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "k", 5) for i, t in made], "doc_id long, text string, lang string, source string, n_chars long, _text_key string, score int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, None, None) for i in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    encoding = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=corpus_ranks(), special_tokens={})
+    size = lambda t: len(encoding.encode_ordinary(t))
+    # the near copy 2 and the copies 7 and 8 of one word go; rows without words have nothing to be taken for
+    want = Counter([(1, size(first)), (1, size(second)), (3, size(long)), (None, size(made[7][1])), (7, size("one"))])
+    assert Counter((r.doc_id, r.n_tokens) for r in got if r.doc_id not in (4, 5, 6)) == want
