@@ -15,7 +15,8 @@ function fitted on the same sample turns both into a score.
 Every whole text is matched; nothing but the text is an input. Null texts count
 as empty; an empty text has the score of a text without matches. Repeated rows
 get equal scores. Without labelled rows of both kinds the lexicon is empty and
-every score is the (smoothed) share of toxic rows.
+every score is the (smoothed) share of toxic rows. An empty table gives no rows.
+Columns called n_hits or score are replaced by scores(); all others pass through.
 """
 
 from __future__ import annotations
@@ -33,10 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .samples import labelled, remainder
-from .shared import slices, table, written
+from .shared import drop_written, slices, table, written
 
-#: Bounds of the labelled sample and of the lexicon.
-MAX_ROWS, MAX_BYTES, MAX_TERMS = 8000, 20 << 20, 500
+#: Bounds of the labelled sample.
+MAX_ROWS, MAX_BYTES = 8000, 20 << 20
+#: Letters of the beginnings of words that can become terms; a longer word is marked by its beginning.
 SHORTEST, LONGEST = 4, 10
 THRESHOLD = 0.3
 MODULUS, HELD_OUT = 4, 2
@@ -52,6 +54,7 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 DROPPED = "​‌‍⁠﻿­"
 FOLDED = str.maketrans({**LOOK_ALIKES, **DIGITS, **dict.fromkeys(DROPPED, "")})
 WORD = re.compile(r"[^\W_]+")
+NEXT = re.compile(r" ([^\W_]+)")
 
 
 def fold(text: str) -> str:
@@ -118,6 +121,23 @@ def beginnings(folded: str) -> set[str]:
     return out
 
 
+def neighbours(folded: str, start: int) -> list[str]:
+    """The word that begins at ``start`` with the one behind it and the one before it, where one blank stands between."""
+    word = WORD.match(folded, start)
+    if not word:
+        return []
+    out = []
+    if after := NEXT.match(folded, word.end()):
+        out.append(f"{word[0]} {after[1]}")
+    if start > 1 and folded[start - 1] == " ":
+        first = start - 1
+        while first and WORD.fullmatch(folded[first - 1]):
+            first -= 1
+        if first < start - 1:
+            out.append(f"{folded[first : start - 1]} {word[0]}")
+    return out
+
+
 def lexicon(toxic: list[set[str]], counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
     """Greedy cover of the toxic texts by beginnings that clean texts hardly have."""
     where: dict[str, set[int]] = defaultdict(set)
@@ -131,7 +151,7 @@ def lexicon(toxic: list[set[str]], counts: dict[str, tuple[int, int]], n_toxic:
     weight = {f: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for f, (a, b) in counts.items()}
     chosen: dict[str, float] = {}
     left = {f: set(docs) for f, docs in where.items()}
-    while left and len(chosen) < MAX_TERMS:
+    while left:
         best = max(left, key=lambda f: (len(left[f]), len(f), f))
         gain = left.pop(best)
         if len(gain) < least:
@@ -143,7 +163,7 @@ def lexicon(toxic: list[set[str]], counts: dict[str, tuple[int, int]], n_toxic:
                 del left[f]
     # what marks many toxic texts and no clean one belongs to the lexicon though other terms mark them too
     for f in sorted(where, key=lambda f: (-len(where[f]), -len(f), f)):
-        if len(where[f]) < common or len(chosen) >= MAX_TERMS:
+        if len(where[f]) < common:
             break
         if counts[f][1] == 0 and not any(f.startswith(t) or t.startswith(f) for t in chosen):
             chosen[f] = weight[f]
@@ -198,17 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions: It
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.matcher()
         for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                folded, near = fold(text), set()
+            totals, lengths, nears = [], [], []
+            for text in batch.column("text").to_pylist():
+                folded = fold(text)
                 hits = model.hits(machine, folded)
-                for s, _, _ in hits:
-                    word = WORD.match(folded, s)
-                    if word and (after := re.compile(r" ([^\W_]+)").match(folded, word.end())):
-                        near.add(f"{word[0]} {after[1]}")
-                    if word and (before := re.search(r"([^\W_]+) $", folded[max(0, s - 40) : s])):
-                        near.add(f"{before[1]} {word[0]}")
-                total = sum(w for _, _, w in hits)
-                yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([total], pa.float64()), pa.array([len(folded)], pa.int64()), pa.array([sorted(near)], pa.list_(pa.string()))], ["y", "total", "length", "near"])
+                totals.append(sum(w for _, _, w in hits))
+                lengths.append(len(folded))
+                nears.append(sorted({phrase for s, _, _ in hits for phrase in neighbours(folded, s)}))
+            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), pa.array(totals, pa.float64()), pa.array(lengths, pa.int64()), pa.array(nears, pa.list_(pa.string()))], ["y", "total", "length", "near"])
 
     schema = "y int, total double, length long, near array<string>"
     rows = sample.mapInArrow(contexts, schema).collect()  # bounded by the sample
@@ -224,6 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions: It
     x = np.array([[1.0, math.log1p(r.total), math.log1p(r.total / (1 + r.length / 600))] for r in sorted(rows, key=lambda r: (r.y, r.total, r.length))])
     y = np.array(sorted(float(r.y) for r in rows))
     model.bias, model.by_sum, model.by_density = map(float, logistic(x, y))
+    drop_written(sample)
     return model
 
 
