@@ -14,8 +14,10 @@ here: articles among menus, sidebars, notices, adverts, forms, comments and
 footers in many layouts, with and without telling tags and attributes.
 
 Null pages count as empty and have no text. Each row is handled alone, whole,
-and without recursion, so neither ties nor repeated rows, long pages, deep
-nesting nor broken markup need other care.
+and without recursion, in time that is in proportion to the page, so neither
+ties nor repeated rows, long pages, deep nesting nor broken markup need other
+care. An empty table gives no rows. The column of pages and one called text are
+replaced by the text; all others pass through.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +47,7 @@ BLOCKS = set("html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = set("html body article main section div ul ol dl table blockquote nav header footer aside form td th figure details".split())
 INLINE_IN = set("li dt dd td th tr".split())
+LISTS = set("ul ol dl table".split())
 
 GROUPS = [["article"], ["main"], ["section"], ["div", "center"], ["p"], ["h1"], ["h2", "h3", "h4", "h5", "h6"], ["li", "dt", "dd"], ["ul", "ol", "dl"], ["td", "th", "tr"], ["table", "tbody", "thead"], ["blockquote", "pre", "figure", "figcaption"], ["nav"], ["header"], ["footer"], ["aside"], ["form", "fieldset"], ["body", "html"], ["#"]]
 GROUP = {tag: k for k, tags in enumerate(GROUPS) for tag in tags}
@@ -61,7 +65,7 @@ BOILER = set("nav header footer aside form".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "words", "depth", "pieces", "chars", "links", "tags", "stops", "controls", "heads", "start", "index")
+    __slots__ = ("tag", "parent", "kids", "words", "depth", "pieces", "chars", "links", "tags", "stops", "controls", "heads", "start", "index", "near_p", "near_item")
 
     def __init__(self, tag: str, parent: Node | None, words: frozenset = frozenset()):
         self.tag, self.parent, self.words = tag, parent, words
@@ -69,35 +73,39 @@ class Node:
         self.kids: list[Node] = []
         self.pieces: list[str] = []
         self.chars = self.links = self.tags = self.stops = self.controls = self.heads = self.start = self.index = 0
+        # the open p, and the open items, rows and cells by tag, that a new element can end
+        self.near_p = self if tag == "p" else None if tag in SCOPE or not parent else parent.near_p
+        above = parent.near_item if parent else {}
+        self.near_item = {} if tag in LISTS else {**above, tag: self} if tag in INLINE_IN else above
         if parent:
             self.index = len(parent.kids)
             parent.kids.append(self)
 
 
-def closed(source: str, end: int, tag: str, at: Node) -> re.Match | None:
+def closed(source: str, end: int, tag: str, opened: Counter) -> re.Match | None:
     """The closing tag of a button or option, unless the next one of its name or its container's end comes first."""
-    around, inside = set(), []
-    while at.parent:
-        around.add(at.tag)
-        at = at.parent
+    inside: Counter = Counter()
     for m in TOKEN.finditer(source, end):
         name = (m[2] or "").lower()
         if name == tag:
             return m if m[1] else None
-        if name in BLOCKS and not m[1]:
-            inside.append(name)
-        elif name in inside:
-            while inside.pop() != name:
-                pass
-        elif name in around:
+        if name not in BLOCKS:
+            continue
+        if not m[1]:
+            inside[name] += 1
+        elif inside[name]:
+            inside[name] -= 1
+        elif opened[name]:
             return None
     return None
 
 
 def tree(source: str) -> list[Node]:
-    """All block nodes and text leaves in page order; the first is the root."""
+    """All block nodes and text leaves in page order; the first is the root. Time is in proportion to the page."""
     root = at = Node("html", None)
-    nodes, leaf, link, end, skip = [root], None, 0, 0, None
+    nodes, leaf, link, end = [root], None, 0, 0
+    opened: Counter = Counter()  # blocks that are open, by tag
+    endless: set[str] = set()  # elements that no closing tag follows any more
 
     def text(raw: str) -> None:
         nonlocal leaf
@@ -110,6 +118,23 @@ def tree(source: str) -> list[Node]:
         if link:
             leaf.links += len(raw)
 
+    def leave(node: Node) -> None:
+        """Ends this element and all inside it."""
+        nonlocal at, link
+        while at is not node:
+            opened[at.tag] -= 1
+            at = at.parent
+        opened[node.tag] -= 1
+        at, link = node.parent, 0
+
+    def raw_end(tag: str) -> re.Match | None:
+        if tag in ("button", "option"):
+            return closed(source, end, tag, opened)
+        found = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, end)
+        if found is None:
+            endless.add(tag)
+        return found
+
     for m in TOKEN.finditer(source):
         if m.start() < end:
             continue
@@ -123,7 +148,7 @@ def tree(source: str) -> list[Node]:
                 at.controls += 1
             if tag == "svg" and m[3].endswith("/"):
                 continue
-            close = closed(source, end, tag, at) if tag in ("button", "option") else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, end)
+            close = raw_end(tag)
             if close:
                 end = close.end()
             elif tag in ("script", "style", "textarea", "title"):
@@ -141,23 +166,23 @@ def tree(source: str) -> list[Node]:
             continue
         leaf = None
         if m[1]:
-            node = at
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                at, link = node.parent, 0
+            if opened[tag]:
+                node = at
+                while node.tag != tag:
+                    node = node.parent
+                leave(node)
             continue
         if tag in ("html", "hr"):
             continue
-        ends = CLOSES.get(tag, set()) if tag in INLINE_IN else {"p"}
-        stop = {"ul", "ol", "dl", "table"} if tag in INLINE_IN else SCOPE
-        node = at
-        while node is not root and node.tag not in ends and node.tag not in stop:
-            node = node.parent
-        if node is not root and node.tag in ends and (tag not in ("p",) or node.tag == "p"):
-            at, link = node.parent, 0
+        if tag in INLINE_IN:
+            ended = max((at.near_item[t] for t in CLOSES[tag] if t in at.near_item), key=lambda n: n.depth, default=None)
+        else:
+            ended = at.near_p
+        if ended is not None:
+            leave(ended)
         words = frozenset(w.lower() for v in ATTRIBUTE.finditer(m[3]) for w in WORDS.findall(v[1] or v[2] or v[3] or "")) if m[3].strip() else frozenset()
         at = Node(tag, at, words)
+        opened[tag] += 1
         nodes.append(at)
     text(source[end:])
     return nodes

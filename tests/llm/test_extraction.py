@@ -104,3 +104,64 @@ def test_boosting():
     y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.5)).astype(float)
     model = boosting.fit(x[:1500], y[:1500])
     assert ((model.log_odds(x[1500:]) > 0) == y[1500:]).mean() > 0.95
+
+
+# Pages written by hand, each with the text of its article.
+PAGES = {
+"blog": ("""<!doctype html><html lang=en><head><meta charset=utf-8><title>On rivers</title><link rel=stylesheet href=a.css></head><body class="single">
+<header class="site-header"><a class="logo" href="/">River Notes</a><nav class="primary-nav"><ul><li><a href="/">Home</a></li><li><a href="/about">About</a></li><li><a href="/archive">Archive</a></li></ul></nav></header>
+<main id="main"><article class="post type-post"><h1 class="entry-title">Why rivers bend</h1>
+<p>A river that leaves the hills rarely keeps to a straight line for long. Small differences in the bank slow the water on one side, and it drops its sand there.</p>
+<p>On the other side the current bites into the soil. After a few <em>hundred</em> years the loop is so tight that the river cuts through its neck.</p>
+<h2>What remains</h2><p>The old loop becomes a lake. Such lakes are shallow, warm and full of reeds&nbsp;&mdash; good places to look for birds.</p></article>
+<section id="comments" class="comments-area"><h2>3 replies</h2><ol class="comment-list"><li class="comment"><b>Ann</b><p>Lovely piece, thanks for writing it!</p></li><li class="comment"><b>Bo</b><p>I grew up beside one of these lakes.</p></li></ol></section></main>
+<aside class="sidebar"><h3>Recent posts</h3><ul><li><a href="/1">On clouds</a></li><li><a href="/2">On stones</a></li></ul></aside>
+<footer class="site-footer"><p>&copy; 2020 River Notes. All rights reserved.</p></footer><script>track()</script></body></html>""",
+"Why rivers bend\nA river that leaves the hills rarely keeps to a straight line for long. Small differences in the bank slow the water on one side, and it drops its sand there.\nOn the other side the current bites into the soil. After a few hundred years the loop is so tight that the river cuts through its neck.\nWhat remains\nThe old loop becomes a lake. Such lakes are shallow, warm and full of reeds — good places to look for birds."),
+"manual": ("""<html><head><title>t</title><style>.x{}</style></head><body><div id="nav"><a href=1>Index</a> | <a href=2>Modules</a> | <a href=3>Search</a></div>
+<div id="content"><h1>Reading files</h1><p>The reader takes a path and gives back rows. It stops at the first row that it cannot read unless told otherwise.</p>
+<pre>rows = read("data.csv")
+for row in rows: print(row)</pre>
+<p>Options are given by name:</p><table><tr><th>name</th><th>meaning</th></tr><tr><td>sep</td><td>what stands between two cells</td></tr><tr><td>skip</td><td>rows to pass over at the start</td></tr></table>
+<ul><li>Paths may hold stars.</li><li>Folders are read file by file, in the order of their names.</li></ul></div>
+<div id="footer">Last changed on Monday. <a href=/legal>Legal notice</a></div></body></html>""",
+"Reading files\nThe reader takes a path and gives back rows. It stops at the first row that it cannot read unless told otherwise.\nrows = read(\"data.csv\") for row in rows: print(row)\nOptions are given by name:\nname\nmeaning\nsep\nwhat stands between two cells\nskip\nrows to pass over at the start\nPaths may hold stars.\nFolders are read file by file, in the order of their names."),
+"news": ("""<body><div class="cookie-banner"><p>We use cookies to improve your visit. By going on you agree to this.</p><button>Accept</button></div>
+<div class="top-menu"><ul><li><a href=/w>World</a><li><a href=/s>Sport</a><li><a href=/m>Money</a></ul></div>
+<div class="story-body"><h1>Bridge reopens after nine months</h1><div class="share-tools"><a href=#>Share</a> <a href=#>Print</a></div>
+<p>The old bridge over the northern channel was opened to traffic again on Friday morning, two weeks later than planned.
+<p>Engineers had replaced forty of the steel beams, some of which were more than a century old.
+<div class="advert"><p>Half price on all shoes until Sunday.</p></div>
+<p>“It will stand for another hundred years”, the head of works said.
+<blockquote><p>We never closed the footpath for more than a day.</p></blockquote></div>
+<div class="related-stories"><h3>More on this</h3><ul><li><a href=/x>Tunnel delayed again</a></li><li><a href=/y>Ferry prices rise</a></li></ul></div>
+<form class="newsletter"><p>Get our news by mail every morning.</p><input name=m><button>Sign up</button></form><footer><p>Contact the desk</p></footer></body>""",
+"Bridge reopens after nine months\nThe old bridge over the northern channel was opened to traffic again on Friday morning, two weeks later than planned.\nEngineers had replaced forty of the steel beams, some of which were more than a century old.\n“It will stand for another hundred years”, the head of works said.\nWe never closed the footpath for more than a day."),
+"icons": ("""<body><nav><a href=/><svg class=icon viewBox="0 0 1 1"/> Home</a><button>menu</button></nav><article><h1>Icons</h1><p>A picture in the menu closes itself, and the text goes on as before, sentence after sentence.</p><p>Another one <svg><path d="M0 0"></path><text>not text</text></svg> stands inside a line of this text.</p></article><footer>end of page</footer></body>""",
+"Icons\nA picture in the menu closes itself, and the text goes on as before, sentence after sentence.\nAnother one stands inside a line of this text."),
+"recipe": ("""<body><div class="wrapper"><div class="header"><a href=/>Kitchen</a></div><div class="menu"><a href=/a>Soups</a> <a href=/b>Cakes</a> <a href=/c>Salads</a></div>
+<div class="entry-content"><h2>Leek soup</h2><p>Serves four. It takes half an hour, most of which is waiting.</p><h3>You need</h3><ul><li>three leeks, washed well</li><li>two potatoes</li><li>a litre of stock</li></ul><h3>How to</h3><ol><li>Cut the leeks into rings and fry them slowly in butter.</li><li>Add the potatoes and the stock and cook until soft.</li></ol></div>
+<div class="widget sidebar"><h4>About me</h4><p>I cook for a family of five and write down what works.</p></div><div class="footer"><p>All recipes are our own. Write to us!</p></div></div></body>""",
+"Leek soup\nServes four. It takes half an hour, most of which is waiting.\nYou need\nthree leeks, washed well\ntwo potatoes\na litre of stock\nHow to\nCut the leeks into rings and fry them slowly in butter.\nAdd the potatoes and the stock and cook until soft."),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_pages_by_hand(model, name):
+    page, want = PAGES[name]
+    assert text(page, model) == want
+
+
+@pytest.mark.parametrize("broken", ["<div>{k}</p></section>", "<div><option>x{k}", "<p><div>{k}<center><h1>", "<svg>{k}", "<button>x{k}<li>y", "<dl><dt>{k}<dd><td>"])
+def test_broken_markup_takes_time_in_proportion(broken):
+    import time
+
+    def taken(n):
+        before, after = broken.split("{k}")
+        began = time.process_time()
+        extraction.tree(before * n + after * n)
+        return time.process_time() - began
+
+    taken(500)
+    small, large = min(taken(2000) for _ in range(3)), min(taken(16000) for _ in range(2))
+    assert large < 30 * max(small, 0.01)  # eight times as long; the square would be 64
