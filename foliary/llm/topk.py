@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from .shared import drop_written, finite, matrix, runs, table, written
 
-#: Pivots at least, vectors of a block, queries solved at once.
-PIVOTS, BLOCK, AT_ONCE = 64, 8192, 512
+#: Pivots at least, vectors of a block, queries solved at once, and rings of a cell at most (a larger ring is dealt by hash).
+PIVOTS, BLOCK, AT_ONCE, RINGS = 64, 8192, 512, 64
 
 
 def raised(x: np.ndarray, norm: float | None) -> np.ndarray:
@@ -116,17 +116,17 @@ def _summary(placed: DataFrame, pivots: np.ndarray, k: int, norm: float, block:
             filled += r.n
             pieces.append((at, cell, r.low, r.high, 1))
     at += 1
-    large = [c for c, r in sizes.items() if r.n > block]
-    if large:
-        ring = placed.where(F.col("cell").isin(large)).groupBy("cell").agg(F.count("*").alias("n"), F.percentile_approx("distance", F.lit([i / 64 for i in range(1, 64)]), F.lit(10000)).alias("cuts")).collect()
-        for r in ring:
-            wanted = min(64, -(-r.n // block))
-            cuts = sorted({r.cuts[round(63 * i / wanted)] for i in range(1, wanted)} - {None})
-            index = sum((F.col("distance") > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
-            for piece in placed.where(F.col("cell") == r.cell).groupBy(index.alias("ring")).agg(F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high")).collect():
-                parts = -(-piece.n // block)
-                pieces.append((at, r.cell, piece.low, piece.high, parts))
-                at += parts
+    if any(r.n > block for r in sizes.values()):
+        # all large cells at once: their cuts, and then what lies between them
+        share = [i / RINGS for i in range(1, RINGS)]
+        large = placed.groupBy("cell").agg(F.count("*").alias("n"), F.percentile_approx("distance", F.lit(share), F.lit(10000)).alias("at")).where(F.col("n") > block)
+        wanted = F.least(F.lit(RINGS), F.ceil(F.col("n") / block)).cast("int")
+        cuts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(wanted - 1, F.lit(1))), lambda i: F.get("at", F.floor(i * (RINGS - 1) / wanted).cast("int"))))
+        ringed = placed.select("cell", "distance").join(large.select("cell", cuts.alias("cuts")), "cell").select("cell", "distance", F.size(F.filter("cuts", lambda c: F.col("distance") > c)).alias("ring"))
+        for r in ringed.groupBy("cell", "ring").agg(F.count("*").alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high")).orderBy("cell", "ring").collect():
+            parts = -(-r.n // block)
+            pieces.append((at, r.cell, r.low, r.high, parts))
+            at += parts
     columns = list(zip(*pieces, strict=True))
     return Summary(pivots, radius, np.array([r.cell for r in nearest], int), np.array([r.distance for r in nearest]), slack, *(np.array(c) for c in columns))
 
