@@ -99,8 +99,11 @@ def docx_markdown(result: Column, to_url: ToUrl = _same, texts_of: ToUrl | None
             .when(e["type"].isin("group", "wsp"), joined(F.transform(inner, trimmed), "\n"))
         )
 
-    # a Python function may not stand inside a lambda, so children are opened beside the elements
     content = result["content"]
-    opened = texts_of(F.transform(content, lambda e: e["children"])) if texts_of else F.transform(content, lambda e: F.array().cast("array<string>"))
-    numbered = F.transform(F.arrays_zip(content.alias("e"), opened.alias("inner")), lambda p, at: F.struct(F.coalesce(p["e"]["idx"], F.lit(0.0)).alias("idx"), at.alias("at"), block(p["e"], p["inner"]).alias("block")))
+    placed = lambda e, at, inner: F.struct(F.coalesce(e["idx"], F.lit(0.0)).alias("idx"), at.alias("at"), block(e, inner).alias("block"))
+    if texts_of is None:
+        numbered = F.transform(content, lambda e, at: placed(e, at, F.array().cast("array<string>")))
+    else:  # a Python function may not stand inside a lambda, so children are opened beside the elements
+        opened = texts_of(F.transform(content, lambda e: e["children"]))
+        numbered = F.transform(F.arrays_zip(content.alias("e"), opened.alias("inner")), lambda p, at: placed(p["e"], at, p["inner"]))
     return F.coalesce(joined(F.transform(F.array_sort(numbered), lambda b: b["block"]), "\n\n"), F.lit(""))
