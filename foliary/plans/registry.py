@@ -202,10 +202,11 @@ def parse_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page asked for twice, and as many links that no page has."""
+    """Every page asked for twice, and as many links that no page has; pages may share a URL, or have none."""
     pages = table(spark, sf_dir, "pages")
-    asked = pages.select("url").unionByName(pages.select("url")).unionByName(pages.select(F.concat(F.lit("gone:"), F.col("url")).alias("url")))
-    return files.by_url(pages, asked).select("url", "mode", "page_id", F.octet_length("html").cast("bigint").alias("bytes"))
+    asked = files.by_url(pages, pages.select("url").unionByName(pages.select("url")))
+    gone = files.by_url(pages.where("url IS NOT NULL"), pages.select(F.concat(F.lit("gone:"), F.col("url")).alias("url")))
+    return asked.unionByName(gone).select("url", "mode", "page_id", F.octet_length("html").cast("bigint").alias("bytes"))
 
 
 def files_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,12 @@
 import json
 import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from foliary.operators import facade, html, manifest, nested, outputs, slides, tasks
+from foliary.plans import registry
 from foliary.sources import files
 from foliary.streaming import events
 
@@ -65,6 +67,17 @@ def test_pages_by_mode(spark):
         files.by_url(pages, asked, "other")
 
 
+def test_pages_that_share_a_url(spark, tmp_path):
+    made = [(1, "u", "a"), (2, "u", "bb"), (3, "v", None), (4, None, "é"), (4, "w", "x"), (4, "w", "x"), (5, "", "")]
+    spark.createDataFrame(made, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in registry.pages_by_url(spark, str(tmp_path)).collect()]
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        want = con.execute(registry.oracle_sql()["pages_by_url"]).fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert len(got) == 2 * len(made)
+
+
 def test_inline_needs_files_and_no_ids(spark):
     made = spark.createDataFrame([("a", 5, 0), ("b", None, 0), ("c", 5, 2)], "job string, bytes long, ids long")
     assert {r.job: (r.files, r.inline) for r in manifest.inline_decision(made, "job", given="ids").collect()} == {"a": (1, True), "b": (0, False), "c": (1, False)}
