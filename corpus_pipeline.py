@@ -2,7 +2,7 @@
 
 quality (documents that the classifier rejects go), near duplicates (one
 document of each class stays), repeated passages (bytes of long repeated strings
-go), mixing (documents are emitted as often as the source's target asks for), and
+and words of repeated passages go), mixing (documents are emitted as often as the source's target asks for), and
 tokens (ids of the encoded text and the bytes that they decode to).
 
 Rows are what every stage works on. Quality scores each row alone; a null or
@@ -39,12 +39,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The text without strings of 400 bytes that occur elsewhere; a document with nothing left goes, one without text stays.
+    """The text without strings of 400 bytes, and without strings of 51 words, that occur elsewhere; a document with nothing left goes, one without text stays.
 
     A removed span may begin or end inside a character, which goes as a whole.
     """
-    cleaned = suffixes.cleaned(docs.select(*COLUMNS))
-    left = cleaned.where((F.col("n_removed") == 0) | (F.col("text") != ""))
+    cleaned = suffixes.cleaned(docs.select(*COLUMNS), words=suffixes.WORDS)
+    left = cleaned.where((F.col("n_removed") == 0) & (F.col("n_passages") == 0) | (F.col("text") != ""))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

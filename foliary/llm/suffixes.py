@@ -19,19 +19,23 @@ one suffix bucket: the stretches of starting places that share that anchor.
    suffixes become rows of their own with a 128-bit digest of their bytes, which
    are counted wherever they lie, so that bucket is solved as exactly as others.
 
+The same is done for strings of whole words, as a passage may have many words in
+fewer bytes: a text is then the row of 64-bit hashes of its words, and all lengths
+and places count words instead of bytes.
+
 Each removed byte is covered by a repeated string of the input, whatever else is
 removed. Matches never cross documents. Null texts count as empty. Documents
 are told apart by doc_id and text; equal rows are documents of their own that
 repeat each other, so all their bytes go if there are ``LENGTH`` of them. An
 empty table gives no rows. cleaned() replaces columns called n_bytes, n_removed,
-n_spans or kept and passes all others through.
+n_spans, kept or n_passages and passes all others through.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +43,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import drop_written, slices, table, written
-from .shingles import mix
+from .shingles import mix, runs_hashed, word_edges
 
 LENGTH = 400
+#: Strings of words: how many words, words whose hash makes an anchor, and bytes of a word's hash.
+WORDS, WORD_GRAM, WORD_WIDTH = 51, 8, 8
 #: Bytes whose hash makes an anchor, and the modulus of the difference cover; powers of two.
 GRAM, MODULUS = 64, 32
 #: Stretches of one bucket, and bytes of one block, that are sorted at once.
@@ -49,6 +55,20 @@ HOT, BLOCK = 2000, 2 << 20
 SEGMENT = 1 << 20
 
 
+def word_hashes(data: bytes) -> bytes:
+    """The hashes of all words, in their order."""
+    begins, ends = word_edges(np.frombuffer(data, np.uint8))
+    out, cuts = [], np.unique(np.searchsorted(begins, [*range(0, len(data), SEGMENT), len(data)])).tolist()
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        part = np.frombuffer(data, np.uint8)[begins[a] : ends[b - 1]]
+        out.append(runs_hashed(part, begins[a:b] - begins[a], ends[a:b] - begins[a]).tobytes())
+    return b"".join(out)
+
+
+def _same(data: bytes) -> bytes:
+    return data
+
+
 def _anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Per starting place (len(data) - length + 1 of them) the place of its anchor."""
     h = data.astype(np.uint64) + np.uint64(1)
@@ -70,28 +90,29 @@ def _anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     return (least & np.uint64((1 << 24) - 1)).astype(np.int64)
 
 
-def stretches(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[bytes, int, int, int]]:
-    """Digest of the anchor's bytes, first and last starting place, and the anchor's place, of each stretch."""
-    for start in range(0, max(0, len(text) - length + 1), SEGMENT):
-        part = text[start : start + SEGMENT + length - 1]
-        anchor = _anchors(np.frombuffer(part, np.uint8), length, gram)
+def stretches(text: bytes, length: int = LENGTH, gram: int = GRAM, width: int = 1) -> Iterator[tuple[bytes, int, int, int]]:
+    """Digest of the anchor's bytes, first and last starting place, and the anchor's place, of each stretch; units have ``width`` bytes."""
+    units = np.frombuffer(text, np.uint8 if width == 1 else f"u{width}")
+    for start in range(0, max(0, len(units) - length + 1), SEGMENT):
+        part = units[start : start + SEGMENT + length - 1]
+        anchor = _anchors(part, length, gram)
         cuts = np.flatnonzero(np.diff(anchor)) + 1
         first = np.concatenate([[0], cuts])
         last = np.concatenate([cuts, [len(anchor)]]) - 1
         for a, b, at in zip(first.tolist(), last.tolist(), anchor[first].tolist(), strict=True):
-            yield hashlib.blake2b(part[at : at + gram], digest_size=8).digest(), start + a, start + b, start + at
+            yield hashlib.blake2b(part[at : at + gram].tobytes(), digest_size=8).digest(), start + a, start + b, start + at
 
 
-def index(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def index(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, view: Callable[[bytes], bytes] = _same, width: int = 1) -> DataFrame:
     """anchor, digest, doc_id, text_key, low, high, at: the stretches of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows: list[list] = [[] for _ in range(7)]
             for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                data = text.encode()
-                for anchor, low, high, at in stretches(data, length, gram):
-                    digest = hashlib.blake2b(data[low : high + length], digest_size=16)
+                data = view(text.encode())
+                for anchor, low, high, at in stretches(data, length, gram, width):
+                    digest = hashlib.blake2b(data[low * width : (high + length) * width], digest_size=16)
                     digest.update(b"%d" % (at - low))
                     for column, value in zip(rows, (int.from_bytes(anchor, "big", signed=True), digest.digest(), doc, key, low, high, at), strict=True):
                         column.append(value)
@@ -177,19 +198,20 @@ def _word(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[places]).view(">u8").ravel().astype(np.uint64)
 
 
-def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], length: int = LENGTH, modulus: int = MODULUS) -> list[np.ndarray]:
+def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], length: int = LENGTH, modulus: int = MODULUS, width: int = 1) -> list[np.ndarray]:
     """Per stretch: which of its starting places begin strings that repeat among all of these.
 
-    bodies: the bytes that a stretch's strings cover; shifts_: its anchor's place in it. Suffixes are
+    bodies: the bytes that a stretch's strings cover; shifts_: its anchor's place in it. All count bytes, of
+    which every ``width``-th one is a starting place. Suffixes are
     sorted by their place before the anchor and by bytes at their ends; of those that tie, two are compared
     by the bytes up to the next places that both have in the cover, and by the ranks there.
     """
     while 2 * modulus > length:  # a string holds the way to the cover and a whole step behind it
         modulus //= 2
-    size = [len(b) - length + 1 for b in bodies]
+    size = [(len(b) - length) // width + 1 for b in bodies]
     base = np.cumsum([0, *map(len, bodies)])
     data = np.concatenate([np.frombuffer(b"".join(bodies), np.uint8), np.zeros(2 * modulus + 8, np.uint8)])
-    at = np.concatenate([np.arange(b, b + n) for b, n in zip(base, size, strict=False)])
+    at = np.concatenate([np.arange(b, b + n * width, width) for b, n in zip(base, size, strict=False)])
     place = np.repeat(np.array(shifts_) + base[:-1], size) - at
     copies = np.repeat(np.array(counts), size)
     repeated = copies > 1
@@ -232,13 +254,13 @@ def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_id, text_key and runs: first and last of starting places of strings of ``length`` bytes that occur elsewhere too.
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, view: Callable[[bytes], bytes] = _same, width: int = 1) -> DataFrame:
+    """doc_id, text_key and runs: first and last of starting places of strings of ``length`` units that occur elsewhere too.
 
-    ``docs`` has doc_id, text_key and text (not null). Every stretch gets the count of its kind, so as many
+    ``docs`` has doc_id, text_key and text (not null); view makes of its bytes units of ``width`` bytes. Every stretch gets the count of its kind, so as many
     rows leave that join as there are stretches, whatever repeats.
     """
-    found = written(index(docs, length, gram), "stretches")
+    found = written(index(docs, length, gram, view, width), "stretches")
     kinds = found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "low", "high", "at")).alias("one"))
     kinds = written(kinds, "kinds")
     buckets = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where(F.col("all") > 1)
@@ -250,9 +272,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         for batch in slices(batches, "text", 1 << 20):
             columns: list[list] = [[] for _ in range(8)]
             for doc, key, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "places")), strict=True):
-                data = text.encode()
+                data = view(text.encode())
                 for p in places:
-                    values = (p["anchor"], p["kinds"], p["n"], doc, key, p["low"], p["at"] - p["low"], data[p["low"] : p["high"] + length])
+                    values = (p["anchor"], p["kinds"], p["n"], doc, key, p["low"], p["at"] - p["low"], data[p["low"] * width : (p["high"] + length) * width])
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
                     if len(columns[0]) >= 4000:
@@ -268,12 +290,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in _CUT_NAMES), strict=True):
                 if held and size > BLOCK and row[0] != held[-1][0]:
-                    yield _sorted(held, length)
+                    yield _sorted(held, length, width)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[7])
         if held:
-            yield _sorted(held, length)
+            yield _sorted(held, length, width)
 
     schema = "doc_id long, text_key long, low int, high int"
     cool = bodies.where(F.col("kinds") <= hot).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, schema)
@@ -281,8 +303,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, n, doc, key, low, shift, body in zip(*(batch.column(c).to_pylist() for c in _CUT_NAMES), strict=True):
-                count = len(body) - length + 1
-                digest = [hashlib.blake2b(body[k : k + length], digest_size=16).digest() for k in range(count)]
+                count = len(body) // width - length + 1
+                digest = [hashlib.blake2b(body[k * width : (k + length) * width], digest_size=16).digest() for k in range(count)]
                 yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array([n] * count, pa.int64()), pa.array([doc] * count, pa.int64()), pa.array([key] * count, pa.int64()), pa.array(range(low, low + count), pa.int32())], ["digest", "n", "doc_id", "text_key", "low"])
 
     single = bodies.where(F.col("kinds") > hot).mapInArrow(each, "digest binary, n long, doc_id long, text_key long, low int")
@@ -300,8 +322,8 @@ _CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int
 _CUT_SCHEMA = "anchor long, kinds long, n long, doc_id long, text_key long, low int, shift int, body binary"
 
 
-def _sorted(held: list[tuple], length: int) -> pa.RecordBatch:
-    flags = sort_block([r[7] for r in held], [r[6] for r in held], [r[2] for r in held], length)
+def _sorted(held: list[tuple], length: int, width: int) -> pa.RecordBatch:
+    flags = sort_block([r[7] for r in held], [r[6] * width for r in held], [r[2] for r in held], length * width, width=width)
     out: list[list] = [[], [], [], []]
     for (_, _, _, doc, key, low, _, _), f in zip(held, flags, strict=True):
         for a, b in zip(*_spans(f), strict=True):
@@ -310,42 +332,64 @@ def _sorted(held: list[tuple], length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], ["doc_id", "text_key", "low", "high"])
 
 
-def _cleaned(data: bytes, runs: list | None, length: int) -> tuple[bytes, int, int]:
-    """What is left of the bytes, how many are gone, and in how many spans."""
+def _covered(size: int, runs: list[tuple[int, int]]) -> np.ndarray:
+    """Which bytes lie in any of the runs (first byte, and the one behind the last)."""
+    gone = np.zeros(size + 1, np.int32)
+    for a, b in runs:
+        gone[a] += 1
+        gone[b] -= 1
+    return np.cumsum(gone[:-1]) > 0
+
+
+def _passages(data: bytes, runs: list | None, words: int) -> np.ndarray:
+    """Which bytes lie in the runs of words, with the white space inside; at an end of the text that beyond too."""
     if not runs:
-        return data, 0, 0
-    gone = np.zeros(len(data) + 1, np.int32)
-    for r in runs:
-        gone[r["low"]] += 1
-        gone[r["high"] + length] -= 1
-    flags = np.cumsum(gone[:-1]) > 0
-    return np.frombuffer(data, np.uint8)[~flags].tobytes(), int(flags.sum()), len(_spans(flags)[0])
+        return np.zeros(len(data), bool)
+    begins, ends = word_edges(np.frombuffer(data, np.uint8))
+    begins[0], ends[-1] = 0, len(data)
+    return _covered(len(data), [(begins[r["low"]], ends[r["high"] + words - 1]) for r in runs])
+
+
+def _left(data: bytes, gone: np.ndarray) -> bytes:
+    return np.frombuffer(data, np.uint8)[~gone].tobytes() if gone.any() else data
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text and any others) with kept (the bytes that stay), n_bytes, n_removed and n_spans.
 
-    The text becomes what stays of it; of a character that a removed run cuts, no bytes stay in the text.
+    With ``words``, n_passages has the bytes that lie in strings of so many words that occur elsewhere too.
+    The text becomes what stays without these and the others; of a character that a removed run cuts, no bytes
+    stay in the text.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-    added = ["n_bytes", "n_removed", "n_spans", "kept"]
+    added = ["n_bytes", "n_removed", "n_spans", "kept", *["n_passages"] * (words is not None)]
     kept = [f for f in docs.schema.fields if f.name not in added]
     row = F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("row")
     keyed = docs.select(row, F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    gathered = repeats(keyed.select("doc_id", "text_key", "text"), length, gram, hot)
-    joined = keyed.select("row", "doc_id", "text_key").join(gathered, ["doc_id", "text_key"], "left").select(*[F.col("row").getField(f.name).alias(str(i)) for i, f in enumerate(kept)], "runs")
-    schema = StructType([*kept, *[StructField(c, LongType()) for c in added[:3]], StructField("kept", BinaryType())])
+    texts = keyed.select("doc_id", "text_key", "text")
+    joined = keyed.select("row", "doc_id", "text_key").join(repeats(texts, length, gram, hot), ["doc_id", "text_key"], "left")
+    if words is not None:
+        passages = repeats(texts, words, WORD_GRAM, hot, word_hashes, WORD_WIDTH).withColumnRenamed("runs", "passages")
+        joined = joined.join(passages, ["doc_id", "text_key"], "left")
+    joined = joined.select(*[F.col("row").getField(f.name).alias(str(i)) for i, f in enumerate(kept)], "runs", *["passages"] * (words is not None))
+    schema = StructType([*kept, *[StructField(c, BinaryType() if c == "kept" else LongType()) for c in added]])
     names = to_arrow_schema(StructType(kept)).names
     text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, str(text)):  # columns by number, as any name may be taken
             data = [(t or "").encode() for t in batch.column(text).to_pylist()]
-            out = [_cleaned(d, r, length) for d, r in zip(data, batch.column(len(names)).to_pylist(), strict=True)]
-            left = pa.array([o[0].decode("utf-8", "ignore") for o in out], pa.string())
-            made = [pa.array([len(d) for d in data], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.binary())]
+            gone = [_covered(len(d), [(r["low"], r["high"] + length) for r in runs or ()]) for d, runs in zip(data, batch.column(len(names)).to_pylist(), strict=True)]
+            stay = [_left(d, g) for d, g in zip(data, gone, strict=True)]
+            made = [pa.array(x, pa.int64()) for x in ([len(d) for d in data], [int(g.sum()) for g in gone], [len(_spans(g)[0]) for g in gone])]
+            made.append(pa.array(stay, pa.binary()))
+            if words is not None:
+                found = [_passages(d, runs, words) for d, runs in zip(data, batch.column(len(names) + 1).to_pylist(), strict=True)]
+                made.append(pa.array([int(f.sum()) for f in found], pa.int64()))
+                stay = [_left(d, g | f) for d, g, f in zip(data, gone, found, strict=True)]
+            left = pa.array([x.decode("utf-8", "ignore") for x in stay], pa.string())
             yield pa.RecordBatch.from_arrays([*[left if i == text else batch.column(i) for i in range(len(names))], *made], [*names, *added])
 
     return joined.mapInArrow(run, schema)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -57,6 +58,42 @@ def test_equal_rows_and_ids(spark):
     assert suffixes.report(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2000, 3])
+def test_passages_of_words_as_counted(spark, hot):
+    rng = random.Random(hot)
+    draw = lambda n: [rng.choice(["", "é", "Ab"]) + str(rng.randrange(40)) for _ in range(n)]
+    passages = [draw(n) for n in (50, 51, 52, 59, 130)]
+    made = [None, "", " \n", "x " * 90, "  " + " ".join(passages[2]) + "\n"]
+    for i in range(40):
+        w = draw(rng.randint(0, 70)) + passages[i % 5] + draw(rng.randint(0, 70))
+        w[rng.randrange(len(w))] += "!" * (i % 3 == 0)
+        made.append(rng.choice(["", "\n"]) + "".join(x + rng.choice([" ", " ", "\n", " \t"]) for x in w))
+    data = [(t or "").encode() for t in made]
+    where = [[m.span() for m in re.finditer(rb"\S+", d)] for d in data]
+    window = lambda d, at, k: tuple(d[a:b] for a, b in at[k : k + 51])
+    count = Counter(window(d, at, k) for d, at in zip(data, where, strict=True) for k in range(len(at) - 50))
+    want = {}
+    for i, (d, at) in enumerate(zip(data, where, strict=True)):
+        gone = bytearray(len(d))
+        for k in range(len(at) - 50):
+            if count[window(d, at, k)] > 1:
+                a, b = at[k][0] if k else 0, at[k + 50][1] if k + 51 < len(at) else len(d)
+                gone[a:b] = b"\1" * (b - a)
+        want[i] = (sum(gone), bytes(x for x, g in zip(d, gone, strict=True) if not g).decode())
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(made)])
+    got = {r.doc_id: (r.n_removed, r.n_passages, r.text) for r in suffixes.cleaned(docs, 4000, hot=hot, words=51).collect()}
+    assert got == {i: (0, *w) for i, w in want.items()}
+    assert sum(n > 0 for n, _ in want.values()) > 15 and want[4][1] == ""
+
+
+def test_hashes_of_words_do_not_depend_on_segments(monkeypatch):
+    data = " ".join(["é" * (i % 9) + str(i) for i in range(500)]).encode() + b"  "
+    whole = suffixes.word_hashes(data)
+    monkeypatch.setattr(suffixes, "SEGMENT", 7)
+    assert suffixes.word_hashes(data) == whole and len(whole) == 8 * 500
+    assert suffixes.word_hashes(b"") == suffixes.word_hashes(b" \n") == b""
+
+
 @pytest.mark.parametrize("length,gram", [(400, 64), (48, 8), (33, 16)])
 def test_equal_strings_have_equal_anchors(length, gram):
     rng = random.Random(length)
