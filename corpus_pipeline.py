@@ -56,7 +56,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    both = bpe.round_trip(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
     return both.select("doc_id", "source", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, table, text_or_empty
+from .shared import mapped, slices, table, text_or_empty
 
 #: Characters (or ids, in decoding) and bytes of one match that are a leaf of the tree.
 LEAF_CHARS = 256
@@ -142,11 +142,14 @@ def _with(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array) -> pa.R
     return pa.RecordBatch.from_arrays([x.cast(t) for x, t in zip(arrays, schema.types, strict=True)], schema=schema)
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``token_ids``, the ids as little-endian unsigned 32-bit integers, in place of ``text``."""
+Step = tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], T.StructType]
+
+
+def _encoding(fields: list[T.StructField], ranks: bytes, pattern: str, text: str) -> Step:
+    """What makes of rows of ``fields`` those of :func:`encode`, and their schema."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kept = [f for f in docs.schema.fields if f.name not in (text, "n_tokens", "token_ids")]
+    kept = [f for f in fields if f.name not in (text, "n_tokens", "token_ids")]
     schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
@@ -156,14 +159,14 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> D
             ids = [codec.encode(x or "") for x in batch.column(text).to_pylist()]
             yield _with(batch, arrow, n_tokens=pa.array([len(x) for x in ids], pa.int64()), token_ids=pa.array([np.asarray(x, "<u4").tobytes() for x in ids], pa.binary()))
 
-    return docs.select(*[c.name for c in kept], text).mapInArrow(run, schema)
+    return run, schema
 
 
-def decode(tokens: DataFrame, ranks: bytes, pattern: str, ids: str = "token_ids") -> DataFrame:
-    """``tokens`` with ``decoded``, the bytes that ``token_ids`` stand for; null ids stand for none."""
+def _decoding(fields: list[T.StructField], ranks: bytes, pattern: str, ids: str) -> Step:
+    """What makes of rows of ``fields`` those of :func:`decode`, and their schema."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = T.StructType([*[f for f in tokens.schema.fields if f.name != "decoded"], T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*[f for f in fields if f.name != "decoded"], T.StructField("decoded", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +175,30 @@ def decode(tokens: DataFrame, ranks: bytes, pattern: str, ids: str = "token_ids"
             out = [codec.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(ids).to_pylist()]
             yield _with(batch, arrow, decoded=pa.array(out, pa.binary()))
 
-    return tokens.mapInArrow(run, schema)
+    return run, schema
+
+
+def _read(docs: DataFrame, encoded: T.StructType, text: str) -> DataFrame:
+    return docs.select(*[f.name for f in encoded.fields[:-2]], text)
+
+
+def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``token_ids``, the ids as little-endian unsigned 32-bit integers, in place of ``text``."""
+    run, schema = _encoding(docs.schema.fields, ranks, pattern, text)
+    return mapped(_read(docs, schema, text), run, schema)
+
+
+def decode(tokens: DataFrame, ranks: bytes, pattern: str, ids: str = "token_ids") -> DataFrame:
+    """``tokens`` with ``decoded``, the bytes that ``token_ids`` stand for; null ids stand for none."""
+    run, schema = _decoding(tokens.schema.fields, ranks, pattern, ids)
+    return mapped(tokens, run, schema)
+
+
+def round_trip(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """What :func:`decode` makes of what :func:`encode` makes of ``docs``, by one worker a task."""
+    there, encoded = _encoding(docs.schema.fields, ranks, pattern, text)
+    back, schema = _decoding(encoded.fields, ranks, pattern, "token_ids")
+    return mapped(_read(docs, encoded, text), lambda batches: back(there(batches)), schema)
 
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .samples import labelled, remainder
-from .shared import slices, table
+from .shared import mapped, slices, table
 from .shingles import BASE, run_key, run_sum, runs_hashed
 
 PASSAGE = 512
@@ -235,13 +235,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
             packed = [x[a:b].astype("<f4").tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "label", "bag"])
 
-    rows = sample.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, bag binary").collect()
+    rows = mapped(sample.select("doc_id", "text", "label"), run, "doc_id long, label int, bag binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["bag"])))
     bags = [np.frombuffer(bytes(r["bag"]), "<f4").reshape(-1, FEATURES) for r in rows]
     return train(bags, np.array([r["label"] for r in rows], float))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
+def scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """doc_id, text and score of every document (further columns pass through)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StructField, StructType
@@ -250,17 +250,18 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     names = to_arrow_schema(schema).names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CHUNK):
-            out = model.score([(t or "").encode() for t in batch.column("text").to_pylist()])
+        for batch in slices(batches, text, CHUNK):
+            out = model.score([(t or "").encode() for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(out, pa.float64())], [*names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns."""
-    inside = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return scores(inside, model).where(F.col("score") >= threshold).select("row.*")
+    numbers = [str(i) for i in range(len(docs.columns))]  # columns by number, as any name may be taken
+    found = scores(docs.toDF(*numbers), model, numbers[docs.columns.index("text")]).where(F.col("score") >= threshold)
+    return found.select(*[F.col(i).alias(c) for i, c in zip(numbers, docs.columns, strict=True)])
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,5 +31,6 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, max
         if total + r["of"]["size"] <= max_bytes:
             total += r["of"]["size"]
             taken.append((r["doc_id"], r["label"], r["of"]["key"]))
-    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long, label int, key long")
+    columns = [pa.array([t[i] for t in taken], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64()))]
+    chosen = docs.sparkSession.createDataFrame(pa.table(columns, ["doc_id", "label", "key"]))  # rows from a list would start Python workers
     return texts.withColumn("key", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "key"]).select("doc_id", "text", "label").dropDuplicates(["text"])

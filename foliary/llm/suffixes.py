@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import drop_written, slices, table, written
+from .shared import drop_written, mapped, slices, table, written
 from .shingles import mix, runs_hashed, word_edges
 
 LENGTH = 400
@@ -121,7 +121,7 @@ def index(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, view: Callabl
                     rows = [[] for _ in range(7)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _TYPES, strict=True)], _NAMES)
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "anchor long, digest binary, doc_id long, text_key long, low int, high int, at int")
+    return mapped(docs.select("doc_id", "text_key", "text"), run, "anchor long, digest binary, doc_id long, text_key long, low int, high int, at int")
 
 
 _NAMES = ["anchor", "digest", "doc_id", "text_key", "low", "high", "at"]
@@ -282,7 +282,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                         columns = [[] for _ in range(8)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CUT_TYPES, strict=True)], _CUT_NAMES)
 
-    bodies = written(docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "places").mapInArrow(cut, _CUT_SCHEMA), "bodies")
+    bodies = written(mapped(docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "places"), cut, _CUT_SCHEMA), "bodies")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -298,7 +298,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
             yield _sorted(held, length, width)
 
     schema = "doc_id long, text_key long, low int, high int"
-    cool = bodies.where(F.col("kinds") <= hot).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, schema)
+    cool = mapped(bodies.where(F.col("kinds") <= hot).repartition("anchor").sortWithinPartitions("anchor"), sort, schema)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,7 +307,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 digest = [hashlib.blake2b(body[k * width : (k + length) * width], digest_size=16).digest() for k in range(count)]
                 yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array([n] * count, pa.int64()), pa.array([doc] * count, pa.int64()), pa.array([key] * count, pa.int64()), pa.array(range(low, low + count), pa.int32())], ["digest", "n", "doc_id", "text_key", "low"])
 
-    single = bodies.where(F.col("kinds") > hot).mapInArrow(each, "digest binary, n long, doc_id long, text_key long, low int")
+    single = mapped(bodies.where(F.col("kinds") > hot), each, "digest binary, n long, doc_id long, text_key long, low int")
     more = single.groupBy("digest").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("digest")
     hot_ones = single.join(more, "digest", "left_semi").select("doc_id", "text_key", "low", F.col("low").alias("high"))
     sorted_ones = cool.unionByName(hot_ones).select("doc_id", "text_key", F.struct("low", "high").alias("run"))
@@ -392,7 +392,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
             left = pa.array([x.decode("utf-8", "ignore") for x in stay], pa.string())
             yield pa.RecordBatch.from_arrays([*[left if i == text else batch.column(i) for i in range(len(names))], *made], [*names, *added])
 
-    return joined.mapInArrow(run, schema)
+    return mapped(joined, run, schema)
 
 
 def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:

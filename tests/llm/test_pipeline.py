@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import struct
 from collections import Counter
 
@@ -9,7 +10,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from foliary.llm import mixing, quality
+from foliary.llm import graph, jaccard, mixing, quality, shared, suffixes
 from foliary.llm.shared import table
 from tests.llm.fixture import duck
 
@@ -135,3 +136,19 @@ def test_awkward_rows(spark, tmp_path):
     # the near copy 2 and the copies 7 and 8 of one word go; rows without words have nothing to be taken for
     want = Counter([(1, size(first)), (1, size(second)), (3, size(long)), (None, size(made[7][1])), (7, size("one"))])
     assert Counter((r.doc_id, r.n_tokens) for r in got if r.doc_id not in (4, 5, 6)) == want
+
+
+def test_no_task_needs_two_python_workers(spark, tmp_path, monkeypatch):
+    """Each worker keeps memory beside the executor's, and waits for further tasks with it."""
+    made(str(tmp_path), spark)
+    plans = []
+
+    def noted(df, name, written=shared.written):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(df, name)
+
+    for module in (corpus_pipeline, jaccard, suffixes, graph):
+        monkeypatch.setattr(module, "written", noted)
+    plans.append(("tokens", corpus_pipeline.run(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()))
+    assert sum("MapInArrow" in p for _, p in plans) > 10
+    assert [n for n, p in plans if re.search(r"MapInArrow.*\n(.*(Project|Filter).*\n)*.*MapInArrow", p)] == []
