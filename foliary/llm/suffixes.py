@@ -10,7 +10,8 @@ one suffix bucket: the stretches of starting places that share that anchor.
 2. Stretches with equal digests repeat each other in full. Of the others, those
    that share an anchor with a different stretch are compared.
 3. Buckets are sorted one block at a time, by the place of the anchor and the
-   bytes at both ends of each string. Long ties are resolved by a difference
+   bytes at both ends of each string; strings that a hash of a few of their bytes
+   already tells from all others need no sorting. Long ties are resolved by a difference
    cover: for places whose residues are in the cover, ranks of what follows are
    computed first, by doubling; of two suffixes that tie, the bytes up to the
    next places that both have in the cover agree already, and the ranks there
@@ -48,84 +49,123 @@ from .shingles import mix, runs_hashed, word_edges
 LENGTH = 400
 #: Strings of words: how many words, words whose hash makes an anchor, and bytes of a word's hash.
 WORDS, WORD_GRAM, WORD_WIDTH = 51, 8, 8
-#: Bytes whose hash makes an anchor, and the modulus of the difference cover; powers of two.
-GRAM, MODULUS = 64, 32
+#: Bytes whose hash makes an anchor, and the modulus of the difference cover in bytes and in words; powers of two.
+GRAM, MODULUS, WORD_MODULUS = 64, 32, 4
 #: Stretches of one bucket, and bytes of one block, that are sorted at once.
 HOT, BLOCK = 2000, 2 << 20
-SEGMENT = 1 << 20
+#: Suffixes that tie and are compared each with each.
+NEAR = 64
+#: Units of long texts, or of short ones together, that are hashed at once; arrays of them stay in the processor's cache.
+SEGMENT = 1 << 15
 
 
-def word_hashes(data: bytes) -> bytes:
-    """The hashes of all words, in their order."""
+def _word_hashes(data: bytes) -> tuple[np.ndarray, bytes]:
+    """Where the words begin, and their hashes."""
     begins, ends = word_edges(np.frombuffer(data, np.uint8))
     out, cuts = [], np.unique(np.searchsorted(begins, [*range(0, len(data), SEGMENT), len(data)])).tolist()
     for a, b in zip(cuts, cuts[1:], strict=False):
         part = np.frombuffer(data, np.uint8)[begins[a] : ends[b - 1]]
         out.append(runs_hashed(part, begins[a:b] - begins[a], ends[a:b] - begins[a]).tobytes())
-    return b"".join(out)
+    return begins, b"".join(out)
+
+
+def word_hashes(data: bytes) -> bytes:
+    """The hashes of all words, in their order."""
+    return _word_hashes(data)[1]
+
+
+def words_of(texts: list[bytes]) -> list[bytes]:
+    """:func:`word_hashes` of each text."""
+    begins, hashes = _word_hashes(b" ".join(texts))
+    cuts = WORD_WIDTH * np.searchsorted(begins, np.cumsum([0, *[len(t) + 1 for t in texts]]))
+    return [hashes[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
 
-def _same(data: bytes) -> bytes:
-    return data
+def _same(texts: list[bytes]) -> list[bytes]:
+    return texts
 
 
-def _anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Per starting place (len(data) - length + 1 of them) the place of its anchor."""
+def _anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per starting place (len(data) - length + 1 of them) the place of its anchor; and the hash at each place."""
     h = data.astype(np.uint64) + np.uint64(1)
     width = 1
     while width < gram:
-        h = h[:-width] * np.uint64(0x9E3779B97F4A7C15) + (h[width:] ^ np.uint64(0xD1B54A32D192ED03)) * np.uint64(0xC2B2AE3D27D4EB4F + 2 * width)
-        h ^= h >> np.uint64(29)
+        more = h[width:] ^ np.uint64(0xD1B54A32D192ED03)
+        more *= np.uint64(0xC2B2AE3D27D4EB4F + 2 * width)
+        h = h[:-width] * np.uint64(0x9E3779B97F4A7C15)
+        h += more
+        h ^= np.right_shift(h, np.uint64(29), out=more)
         width *= 2
     places = np.arange(len(h), dtype=np.uint64)
     key = (mix(h) & ~np.uint64((1 << 24) - 1)) | places
     window = length - gram + 1
-    # sliding minimum: suffix minima of one block and prefix minima of the next
-    n = len(key) - window + 1
-    pad = -len(key) % window
-    cells = np.concatenate([key, np.full(pad, np.iinfo(np.uint64).max)]).reshape(-1, window)
-    before = np.minimum.accumulate(cells, axis=1).ravel()
-    after = np.minimum.accumulate(cells[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(after[:n], before[window - 1 : window - 1 + n])
-    return (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-
-
-def stretches(text: bytes, length: int = LENGTH, gram: int = GRAM, width: int = 1) -> Iterator[tuple[bytes, int, int, int]]:
-    """Digest of the anchor's bytes, first and last starting place, and the anchor's place, of each stretch; units have ``width`` bytes."""
-    units = np.frombuffer(text, np.uint8 if width == 1 else f"u{width}")
-    for start in range(0, max(0, len(units) - length + 1), SEGMENT):
-        part = units[start : start + SEGMENT + length - 1]
-        anchor = _anchors(part, length, gram)
-        cuts = np.flatnonzero(np.diff(anchor)) + 1
-        first = np.concatenate([[0], cuts])
-        last = np.concatenate([cuts, [len(anchor)]]) - 1
-        for a, b, at in zip(first.tolist(), last.tolist(), anchor[first].tolist(), strict=True):
-            yield hashlib.blake2b(part[at : at + gram].tobytes(), digest_size=8).digest(), start + a, start + b, start + at
-
-
-def index(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, view: Callable[[bytes], bytes] = _same, width: int = 1) -> DataFrame:
+    # sliding minimum, by doubling
+    have = 1
+    while 2 * have <= window:
+        key = np.minimum(key[:-have], key[have:])
+        have *= 2
+    least = np.minimum(key[: len(key) - (window - have)], key[window - have :])
+    return (least & np.uint64((1 << 24) - 1)).astype(np.int64), h
+
+
+def _gathered(parts: list[tuple[int, int, np.ndarray]], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """:func:`all_stretches` of parts of texts: which text, the part's first place, and its units (``length`` at least)."""
+    of, start = (np.array(x) for x in list(zip(*parts, strict=True))[:2])
+    base = np.cumsum([0, *[len(p) for _, _, p in parts]])
+    anchor, hashes = _anchors(np.concatenate([p for _, _, p in parts]), length, gram)
+    cuts = np.unique(np.concatenate([np.flatnonzero(np.diff(anchor)) + 1, base[:-1], base[1:] - length + 1]))
+    first, last = cuts[:-1], cuts[1:] - 1
+    part = np.searchsorted(base, first, "right") - 1
+    inside = first <= base[part + 1] - length  # not over the end of a part
+    first, last, part = first[inside], last[inside], part[inside]
+    at, moved = anchor[first], start[part] - base[part]
+    return hashes[at].view(np.int64), of[part], first + moved, last + moved, at + moved
+
+
+def all_stretches(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, width: int = 1) -> Iterator[tuple[np.ndarray, ...]]:
+    """Hash of the anchor, which text, first and last starting place, and the anchor's place, of each stretch; units have ``width`` bytes."""
+    parts, size = [], 0
+    for of, text in enumerate(texts):
+        units = np.frombuffer(text, np.uint8 if width == 1 else f"u{width}")
+        for start in range(0, max(0, len(units) - length + 1), SEGMENT):
+            parts.append((of, start, units[start : start + SEGMENT + length - 1]))
+            size += len(parts[-1][2])
+            if size >= SEGMENT:
+                yield _gathered(parts, length, gram)
+                parts, size = [], 0
+    if parts:
+        yield _gathered(parts, length, gram)
+
+
+def stretches(text: bytes, length: int = LENGTH, gram: int = GRAM, width: int = 1) -> Iterator[tuple[int, int, int, int]]:
+    """Hash of the anchor, first and last starting place, and the anchor's place, of each stretch of one text."""
+    for anchor, _, low, high, at in all_stretches([text], length, gram, width):
+        yield from zip(anchor.tolist(), low.tolist(), high.tolist(), at.tolist(), strict=True)
+
+
+Views = Callable[[list[bytes]], list[bytes]]
+
+
+def index(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, view: Views = _same, width: int = 1) -> DataFrame:
     """anchor, digest, doc_id, text_key, low, high, at: the stretches of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows: list[list] = [[] for _ in range(7)]
-            for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                data = view(text.encode())
-                for anchor, low, high, at in stretches(data, length, gram, width):
-                    digest = hashlib.blake2b(data[low * width : (high + length) * width], digest_size=16)
-                    digest.update(b"%d" % (at - low))
-                    for column, value in zip(rows, (int.from_bytes(anchor, "big", signed=True), digest.digest(), doc, key, low, high, at), strict=True):
-                        column.append(value)
-                if len(rows[0]) > 20000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _TYPES, strict=True)], _NAMES)
-                    rows = [[] for _ in range(7)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _TYPES, strict=True)], _NAMES)
+            data = view([t.encode() for t in batch.column("text").to_pylist()])
+            for anchor, of, low, high, at in all_stretches(data, length, gram, width):
+                digests = []
+                for i, a, b, k in zip(of.tolist(), (low * width).tolist(), ((high + length) * width).tolist(), (at - low).tolist(), strict=True):
+                    digest = hashlib.blake2b(data[i][a:b], digest_size=16)
+                    digest.update(b"%d" % k)
+                    digests.append(digest.digest())
+                which = pa.array(of)
+                columns = [pa.array(anchor), pa.array(digests, pa.binary()), batch.column("doc_id").take(which), batch.column("text_key").take(which), *[pa.array(x.astype(np.int32)) for x in (low, high, at)]]
+                yield pa.RecordBatch.from_arrays(columns, _NAMES)
 
     return mapped(docs.select("doc_id", "text_key", "text"), run, "anchor long, digest binary, doc_id long, text_key long, low int, high int, at int")
 
 
 _NAMES = ["anchor", "digest", "doc_id", "text_key", "low", "high", "at"]
-_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 
 
 @functools.lru_cache(maxsize=None)
@@ -170,9 +210,19 @@ def _tied(rank: np.ndarray) -> np.ndarray:
     return np.bincount(rank)[rank] > 1 if len(rank) else np.zeros(0, bool)
 
 
-def cover_ranks(data: np.ndarray, depth: int, modulus: int) -> np.ndarray:
-    """Ranks of the strings of ``depth`` bytes (a multiple of the modulus) that begin at the places of the cover, by place; by doubling."""
-    cover = np.array(difference_cover(modulus))
+def _may_tie(key: np.ndarray) -> np.ndarray:
+    """Which hashes may equal another one: those that share a slot of a table, so all that do, and few that don't."""
+    bits = min(24, max(8, (4 * len(key)).bit_length()))
+    slot = (key >> np.uint64(64 - bits)).astype(np.int64)
+    return np.bincount(slot)[slot] > 1 if len(slot) else np.zeros(0, bool)
+
+
+def cover_ranks(data: np.ndarray, depth: int, modulus: int, width: int = 1) -> np.ndarray:
+    """Ranks of the strings of ``depth`` bytes (a multiple of the modulus) that begin at the places of the cover, by place; by doubling.
+
+    Places are multiples of ``width``, and so are those of the cover.
+    """
+    cover = np.array(difference_cover(modulus // width)) * width
     rows = (len(data) - modulus) // modulus  # of whole steps
     # one row of the cover's places after the other, so that a step ahead is as many entries ahead as the cover has
     place = (np.arange(rows)[:, None] * modulus + cover).ravel()
@@ -198,28 +248,42 @@ def _word(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[places]).view(">u8").ravel().astype(np.uint64)
 
 
-def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], length: int = LENGTH, modulus: int = MODULUS, width: int = 1) -> list[np.ndarray]:
+def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], length: int = LENGTH, modulus: int = MODULUS, width: int = 1, near: int = NEAR) -> list[np.ndarray]:
     """Per stretch: which of its starting places begin strings that repeat among all of these.
 
     bodies: the bytes that a stretch's strings cover; shifts_: its anchor's place in it. All count bytes, of
     which every ``width``-th one is a starting place. Suffixes are
     sorted by their place before the anchor and by bytes at their ends; of those that tie, two are compared
-    by the bytes up to the next places that both have in the cover, and by the ranks there.
+    by the bytes up to the next places that both have in the cover, and by the ranks there: each with each
+    where up to ``near`` tie, else by sorting those of each two residues.
     """
     while 2 * modulus > length:  # a string holds the way to the cover and a whole step behind it
         modulus //= 2
     size = [(len(b) - length) // width + 1 for b in bodies]
     base = np.cumsum([0, *map(len, bodies)])
-    data = np.concatenate([np.frombuffer(b"".join(bodies), np.uint8), np.zeros(2 * modulus + 8, np.uint8)])
+    spare = np.zeros(2 * modulus + 8, np.uint8)
+    data = np.concatenate([np.frombuffer(b"".join(bodies), np.uint8), spare])
+    owner = np.repeat(np.arange(len(bodies)), size)
     at = np.concatenate([np.arange(b, b + n * width, width) for b, n in zip(base, size, strict=False)])
-    place = np.repeat(np.array(shifts_) + base[:-1], size) - at
-    copies = np.repeat(np.array(counts), size)
-    repeated = copies > 1
+    place = (np.array(shifts_) + base[:-1])[owner] - at
+    repeated = np.array(counts)[owner] > 1
+    # strings whose bytes at a few places, hashed, are those of no other one are in order wherever they stand
+    left, key = np.arange(len(at)), mix(place.view(np.uint64))
+    for offsets in ([0, length - 8], [length // 2, length // 4, 3 * (length // 4)]):
+        for k in offsets:
+            key = mix(key ^ _word(data, at[left] + min(k, length - 8)))
+        tied = _may_tie(key)
+        left, key = left[tied], key[tied]
+    # only the stretches of the others are sorted
+    some = np.unique(owner[left])
+    data = np.concatenate([*[data[base[i] : base[i + 1]] for i in some.tolist()], spare])
+    moved = np.zeros(len(bodies), np.int64)
+    moved[some] = np.cumsum([0, *(base[some + 1] - base[some]).tolist()])[:-1] - base[some]
+    at += moved[owner]
     depth = (length - modulus) // modulus * modulus
     ends = [8 * k for k in range(modulus // 8)]
     tail = sorted({length - 8 - 8 * k for k in range(-(-(length - depth) // 8))})
-    left = np.arange(len(at))
-    group = place
+    group = place[left]
     # bytes at both ends, a few at a time, and only of what still ties
     for offsets in ([ends[0], tail[-1]], [*ends[1:], *tail[:-1]]):
         if not len(left):
@@ -228,11 +292,22 @@ def sort_block(bodies: list[bytes], shifts_: list[int], counts: list[int], lengt
         tied = _tied(group)
         left, group = left[tied], group[tied]
     if len(left):
-        ranks, step = cover_ranks(data, depth, modulus), shifts(modulus)
-        residue = at[left] % modulus
-        by = [np.flatnonzero(residue == r) for r in range(modulus)]
-        for i in range(modulus):
-            for j in range(i, modulus):
+        ranks, step = cover_ranks(data, depth, modulus, width), shifts(modulus // width) * width
+        residue = at[left] % modulus // width
+        order = np.argsort(group, kind="stable")
+        left, group, residue = left[order], group[order], residue[order]
+        small = np.bincount(group)[group] <= near
+        one, ahead = np.flatnonzero(small), 1
+        while len(one := one[one + ahead < len(group)]) and len(one := one[group[one] == group[one + ahead]]):
+            other = one + ahead
+            way = step[residue[one], residue[other]]
+            same = ranks[at[left[one]] + way] == ranks[at[left[other]] + way]
+            repeated[left[one[same]]] = repeated[left[other[same]]] = True
+            ahead += 1
+        left, group, residue = left[~small], group[~small], residue[~small]
+        by = [np.flatnonzero(residue == r) for r in range(modulus // width)]
+        for i in range(len(by)):
+            for j in range(i, len(by)):
                 both = by[i] if i == j else np.concatenate([by[i], by[j]])
                 if len(both) < 2 or not len(by[i]) or not len(by[j]):
                     continue
@@ -254,7 +329,7 @@ def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, view: Callable[[bytes], bytes] = _same, width: int = 1) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, view: Views = _same, width: int = 1) -> DataFrame:
     """doc_id, text_key and runs: first and last of starting places of strings of ``length`` units that occur elsewhere too.
 
     ``docs`` has doc_id, text_key and text (not null); view makes of its bytes units of ``width`` bytes. Every stretch gets the count of its kind, so as many
@@ -271,8 +346,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             columns: list[list] = [[] for _ in range(8)]
-            for doc, key, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "places")), strict=True):
-                data = view(text.encode())
+            views = view([t.encode() for t in batch.column("text").to_pylist()])
+            for doc, key, places, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "places")), views, strict=True):
                 for p in places:
                     values = (p["anchor"], p["kinds"], p["n"], doc, key, p["low"], p["at"] - p["low"], data[p["low"] * width : (p["high"] + length) * width])
                     for column, value in zip(columns, values, strict=True):
@@ -323,7 +398,7 @@ _CUT_SCHEMA = "anchor long, kinds long, n long, doc_id long, text_key long, low
 
 
 def _sorted(held: list[tuple], length: int, width: int) -> pa.RecordBatch:
-    flags = sort_block([r[7] for r in held], [r[6] * width for r in held], [r[2] for r in held], length * width, width=width)
+    flags = sort_block([r[7] for r in held], [r[6] * width for r in held], [r[2] for r in held], length * width, MODULUS if width == 1 else WORD_MODULUS * width, width)
     out: list[list] = [[], [], [], []]
     for (_, _, _, doc, key, low, _, _), f in zip(held, flags, strict=True):
         for a, b in zip(*_spans(f), strict=True):
@@ -371,7 +446,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     texts = keyed.select("doc_id", "text_key", "text")
     joined = keyed.select("row", "doc_id", "text_key").join(repeats(texts, length, gram, hot), ["doc_id", "text_key"], "left")
     if words is not None:
-        passages = repeats(texts, words, WORD_GRAM, hot, word_hashes, WORD_WIDTH).withColumnRenamed("runs", "passages")
+        passages = repeats(texts, words, WORD_GRAM, hot, words_of, WORD_WIDTH).withColumnRenamed("runs", "passages")
         joined = joined.join(passages, ["doc_id", "text_key"], "left")
     joined = joined.select(*[F.col("row").getField(f.name).alias(str(i)) for i, f in enumerate(kept)], "runs", *["passages"] * (words is not None))
     schema = StructType([*kept, *[StructField(c, BinaryType() if c == "kept" else LongType()) for c in added]])
@@ -395,8 +470,14 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     return mapped(joined, run, schema)
 
 
-def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    return cleaned(docs.select("doc_id", "text"), length, gram, hot).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int = WORDS) -> DataFrame:
+    """What the strings of ``length`` bytes cover, as the contract has it; then the bytes in strings of ``words`` words
+    that occur elsewhere (n_passages), and the text without both.
+
+    Such passages can have fewer bytes than ``length``. n_removed, n_spans and kept_sha256 do not count them.
+    """
+    found = cleaned(docs.select("doc_id", "text"), length, gram, hot, words)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages", "text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

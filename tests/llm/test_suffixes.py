@@ -58,6 +58,19 @@ def test_equal_rows_and_ids(spark):
     assert suffixes.report(docs.limit(0)).count() == 0
 
 
+def test_report_shows_passages_of_few_bytes(spark):
+    rng = random.Random(5)
+    draw = lambda n: " ".join(f"w{rng.randrange(10**4)}" for _ in range(n))
+    passage, begin, end, alone = draw(51), draw(20), draw(20), draw(200)
+    assert len(passage) < 400
+    docs = documents(spark, [(1, f"{begin} {passage} {end}", "s"), (2, passage, "s"), (3, alone, "s"), (4, None, "s")])
+    got = {r["doc_id"]: r for r in rows(suffixes.report(docs))}
+    assert {i: (r["n_passages"], r["text"]) for i, r in got.items()} == {1: (len(passage), f"{begin}  {end}"), 2: (len(passage), ""), 3: (0, alone), 4: (0, "")}
+    # the contract's columns count strings of 400 bytes alone
+    assert [r["n_removed"] for r in got.values()] == [0] * 4
+    assert got[1]["kept_sha256"] == hashlib.sha256(f"{begin} {passage} {end}".encode()).hexdigest()
+
+
 @pytest.mark.parametrize("hot", [2000, 3])
 def test_passages_of_words_as_counted(spark, hot):
     rng = random.Random(hot)
@@ -94,6 +107,23 @@ def test_hashes_of_words_do_not_depend_on_segments(monkeypatch):
     assert suffixes.word_hashes(b"") == suffixes.word_hashes(b" \n") == b""
 
 
+def test_words_of_many_texts_at_once():
+    data = [b"", b"a b", b" ", b"c", "  é x\n".encode(), b"a b", b""]
+    assert suffixes.words_of(data) == [suffixes.word_hashes(d) for d in data]
+    assert suffixes.words_of([]) == []
+
+
+@pytest.mark.parametrize("segment", [1, 7, 100, 1 << 15])
+def test_stretches_do_not_depend_on_segments(monkeypatch, segment):
+    rng = random.Random(segment)
+    data = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (0, 47, 48, 49, 300, 5, 120, 48)]
+    each = lambda got: sorted((i, k, at, anchor) for anchor, i, low, high, at in got for k in range(low, high + 1))
+    alone = each((anchor, i, *rest) for i, d in enumerate(data) for anchor, *rest in suffixes.stretches(d, 48, 8))
+    monkeypatch.setattr(suffixes, "SEGMENT", segment)
+    assert each(row for part in suffixes.all_stretches(data, 48, 8) for row in zip(*(x.tolist() for x in part), strict=True)) == alone
+    assert [(i, k) for i, k, _, _ in alone] == [(i, k) for i, d in enumerate(data) for k in range(len(d) - 47)]
+
+
 @pytest.mark.parametrize("length,gram", [(400, 64), (48, 8), (33, 16)])
 def test_equal_strings_have_equal_anchors(length, gram):
     rng = random.Random(length)
@@ -128,6 +158,30 @@ def test_ranks_of_the_cover_sort_like_the_strings():
         assert (ranks[a] < ranks[b]) == (x < y) and (ranks[a] == ranks[b]) == (x == y)
 
 
+@pytest.mark.parametrize("near", [0, 1, 3, 64])
+@pytest.mark.parametrize("width,modulus", [(1, 32), (8, 32), (8, 64)])
+def test_ties_of_any_number_as_counted(near, width, modulus):
+    rng = random.Random(near)
+    units = [bytes([rng.randrange(3)] * width) for _ in range(3)]
+    core = [rng.choice(units) for _ in range(200)]
+    bodies, places = [], []
+    for _ in range(40):
+        low = rng.randint(0, 40)
+        body = core[low : rng.randint(81, 160)]
+        if len(body) < 80:
+            continue
+        if rng.random() < 0.5:
+            body[rng.randrange(len(body))] = rng.choice(units)
+        bodies.append(b"".join(body))
+        places.append((60 - low) * width)
+    length = 80 * width
+    seen = Counter((place - i, body[i : i + length]) for body, place in zip(bodies, places, strict=True) for i in range(0, len(body) - length + 1, width))
+    got = suffixes.sort_block(bodies, places, [1] * len(bodies), length, modulus, width, near)
+    for body, place, flags in zip(bodies, places, got, strict=True):
+        assert flags.tolist() == [seen[place - i, body[i : i + length]] > 1 for i in range(0, len(body) - length + 1, width)]
+    assert max(seen.values()) > 3
+
+
 @pytest.mark.parametrize("length,modulus", [(48, 8), (60, 16), (100, 32), (400, 32)])
 def test_sorted_blocks_as_counted(length, modulus):
     rng = random.Random(length)
